@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import lookalike
+from paperloom.llm import bpe, lookalike
 from paperloom.registry import Registry
 from paperloom.session import table
 
@@ -24,3 +24,25 @@ def p10_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The canonical text of each document that has look-alikes."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return lookalike.canonical_members(docs).withColumnRenamed("id", "doc_id")
+
+
+@LLM.add("p8_ids")
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document by byte_bpe_50k, without special tokens."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return bpe.encode_corpus(docs).withColumnRenamed("id", "doc_id")
+
+
+@LLM.add("p8_round_trip")
+def p8_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many documents come back from their ids as they were, with the tokens in all."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    ids = bpe.encode_corpus(docs).withColumnRenamed("id", "doc_id")
+    back = bpe.decode_corpus(ids).withColumnRenamed("id", "doc_id").withColumnRenamed("text", "back")
+    sizes = ids.select("doc_id", F.size("ids").alias("tokens"))
+    kept = (F.coalesce("text", F.lit("")) == F.col("back")).cast("bigint")
+    return (
+        docs.join(back, "doc_id")
+        .join(sizes, "doc_id")
+        .agg(F.count("*").alias("docs"), F.sum(kept).alias("same"), F.sum("tokens").alias("tokens"))
+    )
