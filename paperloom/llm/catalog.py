@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import bpe, lookalike
+from paperloom.llm import bpe, leaks, lookalike
 from paperloom.registry import Registry
 from paperloom.session import table
 
@@ -46,3 +46,10 @@ def p8_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(sizes, "doc_id")
         .agg(F.count("*").alias("docs"), F.sum(kept).alias("same"), F.sum("tokens").alias("tokens"))
     )
+
+
+@LLM.add("p9_found")
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with passages of evaluation items."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return leaks.leaked(docs, table(spark, sf_dir, "eval_items", "item_id", "text"))
