@@ -35,55 +35,61 @@ from pyspark.sql import functions as F
 from paperloom.llm.lookalike import coarse
 
 WINDOW = 8
-REPEATS = 4
+REPEATS = 3
 SAMPLE = 9
-MIN_HITS = 2
+MIN_HITS = 3
 MIN_PIECE = 8
 SHARE = 0.4
 #: Item words in one block of tables (8 bytes a word and repetition, about 100 MB).
 BLOCK_WORDS = 2_000_000
-#: Document words that a worker embeds at once.
-CHUNK_WORDS = 400_000
+#: Document words that a worker embeds at once (its arrays then stay in the cache).
+CHUNK_WORDS = 24_000
 _SEED = 20_240_101
 
 
 def word_hashes(col: Column) -> Column:
-    """The words of a text as 64-bit hashes, in order; null text gives an empty array."""
+    """The words of a text as 64-bit hashes, in order; a text without words gives one filler."""
     x = F.lower(coarse(F.coalesce(col, F.lit(""))))
     x = F.regexp_replace(x, r"</?[a-z][^<>]{0,200}>|&#?[a-z0-9]{1,8};|\\[a-z]+\*?|\[\d+(?:[,;–-] ?\d+)*\]|!\[", " ")
     x = F.regexp_replace(x, r"(?<=\p{L})[-¬]\s+(?=\p{L})", "")
     x = F.regexp_replace(x, r"([㐀-鿿])", " $1 ")
     x = F.trim(F.regexp_replace(x, r"[^\p{L}\p{N}]+", " "))
-    words = F.split(x, " ")
-    return F.when(x == "", F.array().cast("array<bigint>")).otherwise(F.transform(words, lambda w: F.xxhash64(w)))
+    return F.transform(F.split(x, " "), lambda w: F.xxhash64(w))
 
 
 class Walk:
-    """One CGK walk with its sampled positions."""
+    """One CGK walk with its sampled positions.
+
+    Only the steps up to the last sampled one are walked. What a step needs of a word
+    (its turn, its mixed value) is computed once per word, in order, and gathered for
+    the windows.
+    """
 
     def __init__(self, seed: int, window: int = WINDOW, sample: int = SAMPLE):
         rng = np.random.default_rng(seed)
-        self.window, self.steps = window, 3 * window
-        self.turn = rng.integers(1, 2**63, self.steps, dtype=np.uint64) | np.uint64(1)
-        self.taken = np.zeros(self.steps, bool)
-        self.taken[rng.choice(2 * window, sample, replace=False)] = True
-        self.mix = rng.integers(1, 2**63, self.steps, dtype=np.uint64) | np.uint64(1)
-        self.last = int(np.flatnonzero(self.taken).max())
+        steps = 3 * window
+        self.turn = rng.integers(1, 2**63, steps, dtype=np.uint64) | np.uint64(1)
+        self.mix = rng.integers(1, 2**63, steps, dtype=np.uint64) | np.uint64(1)
+        self.taken = np.zeros(steps, bool)
+        self.taken[rng.choice(steps, sample, replace=False)] = True
+        self.steps = int(np.flatnonzero(self.taken).max()) + 1
 
     def keys(self, words: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """LSH keys of the windows at ``starts``; past its end a window holds a filler."""
-        at = np.zeros(len(starts), np.int64)
+        """LSH keys of the walks from ``starts``; ``words`` ends with PAD."""
+        at = starts.copy()
         key = np.zeros(len(starts), np.uint64)
-        top = np.uint64(63)
-        for j in range(self.last + 1):
-            inside = at < self.window
-            w = np.where(inside, words[np.minimum(starts + at, len(words) - 1)], np.uint64(0))
-            turned = w * self.turn[j]
+        for j in range(self.steps):
             if self.taken[j]:
-                key = (key ^ (w * self.mix[j] + (w >> np.uint64(29)))) * np.uint64(0x9E3779B97F4A7C15)
-                key ^= key >> np.uint64(31)
-            at += (turned >> top).astype(np.int64)
-        return key
+                mixed = words * self.mix[j]
+                mixed ^= mixed >> np.uint64(32)
+                key *= np.uint64(0x9E3779B97F4A7C15)
+                key += mixed[at]
+            at += ((words * self.turn[j]) >> np.uint64(63)).astype(np.int32)[at]
+        return key ^ (key >> np.uint64(29))
+
+
+#: Fillers behind the last word, so that no walk leaves the array.
+PAD = np.zeros(3 * WINDOW + 1, np.uint64)
 
 
 def walks() -> list[Walk]:
@@ -96,7 +102,7 @@ def window_starts(offsets: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray
     n = np.maximum(lengths - window + 1, 0)
     owner = np.repeat(np.arange(len(n)), n)
     first = np.repeat(np.cumsum(n) - n, n)
-    return offsets[:-1][owner] + (np.arange(n.sum()) - first), owner
+    return (offsets[:-1][owner] + (np.arange(n.sum()) - first)).astype(np.int32), owner
 
 
 class ItemTables:
@@ -105,7 +111,7 @@ class ItemTables:
     def __init__(self, items: list[tuple[int, list[int]]]):
         self.ids = [i for i, _ in items]
         self.words = [np.asarray(w, dtype=np.int64).view(np.uint64) for _, w in items]
-        flat = np.concatenate(self.words) if self.words else np.zeros(0, np.uint64)
+        flat = np.concatenate([*self.words, PAD])
         offsets = np.concatenate([[0], np.cumsum([len(w) for w in self.words])]).astype(np.int64)
         starts, owner = window_starts(offsets)
         self.walks, self.tables = walks(), []
@@ -119,7 +125,7 @@ class ItemTables:
         starts, owner = window_starts(offsets)
         if not len(starts):
             return []
-        hits = []
+        hits, words = [], np.concatenate([words, PAD])
         for walk, (keys, item) in zip(self.walks, self.tables):
             if not len(keys):
                 continue

@@ -99,20 +99,26 @@ def line_ends(col: Column) -> Column:
     return F.replace(F.replace(col, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
 
 
-def mapped(col: Column) -> Column:
-    """``col`` with look-alike letters, forms and blanks mapped; accents stay as they are."""
-    out = line_ends(col)
+def _plain(col: Column) -> Column:
+    """Only ASCII: as many bytes as characters. Such texts map to themselves."""
+    return F.octet_length(col) == F.length(col)
+
+
+def _mapped(col: Column, table: dict[str, str]) -> Column:
+    out = col
     for c in _COMMON_LIGATURES:
         out = F.replace(out, F.lit(c), F.lit(_MULTI[c]))
-    return _translate(out, _SINGLE)
+    return line_ends(F.when(_plain(col), col).otherwise(_translate(out, table)))
+
+
+def mapped(col: Column) -> Column:
+    """``col`` with look-alike letters, forms and blanks mapped; accents stay as they are."""
+    return _mapped(col, _SINGLE)
 
 
 def coarse(col: Column) -> Column:
     """``mapped`` and without accents: equal for all texts that look alike."""
-    out = line_ends(col)
-    for c in _COMMON_LIGATURES:
-        out = F.replace(out, F.lit(c), F.lit(_MULTI[c]))
-    return _translate(out, _SINGLE | _ACCENTS)
+    return _mapped(col, _SINGLE | _ACCENTS)
 
 
 def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
