@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import bpe, leaks, lookalike
+from paperloom.llm import bpe, leaks, lookalike, markup, repetition
 from paperloom.registry import Registry
 from paperloom.session import table
 
@@ -53,3 +53,35 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with passages of evaluation items."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return leaks.leaked(docs, table(spark, sf_dir, "eval_items", "item_id", "text"))
+
+
+@LLM.add("p2_found")
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks that repeat at least two fifths of their words."""
+    blocks = table(spark, sf_dir, "blocks", "block_id", "text")
+    return repetition.degenerate(blocks).withColumnRenamed("id", "block_id")
+
+
+@LLM.add("p2_shares")
+def p2_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Content share and repeated share of every block."""
+    return repetition.shares(table(spark, sf_dir, "blocks", "block_id", "text")).withColumnRenamed("id", "block_id")
+
+
+@LLM.add("p4_found")
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kinds of markup in the fields of every block."""
+    return markup.found(table(spark, sf_dir, "blocks", "block_id", "paper_id", "text", "table_body"))
+
+
+@LLM.add("p4_clean")
+def p4_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fields of every block as clean text."""
+    return markup.clean(table(spark, sf_dir, "blocks", "block_id", "paper_id", "text", "table_body"))
+
+
+@LLM.add("p4_style_tree")
+def p4_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance of every style node of every paper."""
+    nodes = markup.presentation_nodes(table(spark, sf_dir, "blocks", "block_id", "paper_id", "text", "table_body"))
+    return markup.style_tree(nodes)
