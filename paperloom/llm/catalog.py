@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import bpe, leaks, lookalike, markup, repetition
+from paperloom.llm import bpe, leaks, lookalike, markup, names, repetition
 from paperloom.registry import Registry
 from paperloom.session import table
 
@@ -85,3 +85,19 @@ def p4_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importance of every style node of every paper."""
     nodes = markup.presentation_nodes(table(spark, sf_dir, "blocks", "block_id", "paper_id", "text", "table_body"))
     return markup.style_tree(nodes)
+
+
+def _name_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.author_strings(table(spark, sf_dir, "refs", "authors"), table(spark, sf_dir, "papers", "author"))
+
+
+@LLM.add("p7_found")
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of name strings that denote one person or group."""
+    return names.linked(_name_strings(spark, sf_dir))
+
+
+@LLM.add("p7_entities")
+def p7_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every name string with the representative of its block."""
+    return names.entities(_name_strings(spark, sf_dir))
