@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import bpe, leaks, lookalike, markup, names, repetition
+from paperloom.llm import bpe, languages, leaks, lookalike, markup, names, repetition
 from paperloom.registry import Registry
 from paperloom.session import table
 
@@ -101,3 +101,20 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p7_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every name string with the representative of its block."""
     return names.entities(_name_strings(spark, sf_dir))
+
+
+_PAPER_COLUMNS = ("paper_id", "title", "abstract", "lang", "ingested_at")
+
+
+@LLM.add("p1_found")
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of a paper that its label does not name."""
+    papers = table(spark, sf_dir, "papers", *_PAPER_COLUMNS)
+    return languages.unnamed(papers, table(spark, sf_dir, "lang_samples", "lang", "text"))
+
+
+@LLM.add("p1_segments")
+def p1_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language and confidence of each title and each sentence of an abstract."""
+    papers = table(spark, sf_dir, "papers", *_PAPER_COLUMNS)
+    return languages.segments(papers, table(spark, sf_dir, "lang_samples", "lang", "text"))
