@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import bpe, languages, leaks, lookalike, markup, names, repetition
+from paperloom.llm import bpe, languages, leaks, lookalike, markup, names, repetition, scans
 from paperloom.registry import Registry
 from paperloom.session import table
 
@@ -118,3 +118,18 @@ def p1_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language and confidence of each title and each sentence of an abstract."""
     papers = table(spark, sf_dir, "papers", *_PAPER_COLUMNS)
     return languages.segments(papers, table(spark, sf_dir, "lang_samples", "lang", "text"))
+
+
+_SCAN_COLUMNS = ("block_id", "paper_id", "seq", "type", "text", "page_idx", "bbox")
+
+
+@LLM.add("p6_found")
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kinds of scan noise of every block."""
+    return scans.found(table(spark, sf_dir, "blocks", *_SCAN_COLUMNS))
+
+
+@LLM.add("p6_repaired")
+def p6_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every block's text repaired, with its type set right."""
+    return scans.repaired(table(spark, sf_dir, "blocks", *_SCAN_COLUMNS))
