@@ -3,6 +3,8 @@
 
 def all_registries() -> list:
     """The registries of the core, in a fixed order."""
+    from paperloom.plans.corpus import CORPUS
     from paperloom.plans.general import GENERAL
+    from paperloom.plans.relational import RELATIONAL
 
-    return [GENERAL]
+    return [GENERAL, CORPUS, RELATIONAL]

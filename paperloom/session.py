@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 
 def get_spark(app: str = "paperloom", cpus: str | int = "*") -> SparkSession:
@@ -28,7 +28,7 @@ def get_spark(app: str = "paperloom", cpus: str | int = "*") -> SparkSession:
     )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str | Column) -> DataFrame:
     """Read one table; naming the columns keeps the scan to those columns."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*columns) if columns else df
