@@ -61,4 +61,4 @@ def sane_year(col: Column) -> Column:
 
 def sane_authors(col: Column) -> Column:
     """Trimmed, without empties, at most 30."""
-    return F.slice(F.filter(F.transform(col, F.trim), lambda a: a != ""), 1, 30)
+    return F.slice(F.filter(F.transform(col, lambda a: F.trim(a)), lambda a: a != ""), 1, 30)

@@ -62,7 +62,7 @@ def rule_metadata(blocks: DataFrame, max_year: int) -> DataFrame:
 
 def keyword_list(col: Column) -> Column:
     """At most ten keywords of at most sixty characters."""
-    parts = F.transform(F.split(col, r"[;,，；·|•\n]"), F.trim)
+    parts = F.transform(F.split(col, r"[;,，；·|•\n]"), lambda k: F.trim(k))
     return F.slice(F.filter(parts, lambda k: (k != "") & (F.length(k) <= 60)), 1, 10)
 
 
