@@ -37,7 +37,7 @@ from paperloom.llm.lookalike import coarse
 WINDOW = 8
 REPEATS = 3
 SAMPLE = 9
-MIN_HITS = 3
+MIN_HITS = 2
 MIN_PIECE = 8
 SHARE = 0.4
 #: Item words in one block of tables (8 bytes a word and repetition, about 100 MB).
