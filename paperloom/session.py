@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -28,8 +30,30 @@ def get_spark(app: str = "paperloom", cpus: str | int = "*") -> SparkSession:
     )
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Gives the workers this package, wherever the driver was started.
+
+    Once per application the package's sources go into one archive that Spark serves to
+    its executors; a worker that already finds the package on its path is not disturbed.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    _SHIPPED.add(app)
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="paperloom-")) / "paperloom.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f"{root.name}/{f.relative_to(root)}")
+    spark.sparkContext.addPyFile(str(archive))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str | Column) -> DataFrame:
     """Read one table; naming the columns keeps the scan to those columns."""
+    ship_package(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*columns) if columns else df
 
