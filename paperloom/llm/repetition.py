@@ -35,7 +35,9 @@ MIN_SHARE = 0.4
 LINE_WORDS = 12
 #: A text whose content share is below this is measured exactly.
 RETAIN = 1.0
-SAMPLE_ROWS = 3_000
+SAMPLE_ROWS = 1_500
+#: Longest text that may be in the sample.
+SAMPLE_CHARS = 20_000
 #: A line of the sample counts as boilerplate from this repeated share on.
 LINE_REPEATED = 0.2
 CONTENT, BOILERPLATE = 0, 1
@@ -195,10 +197,10 @@ def shares(df: DataFrame, id_col: str = "block_id", text_col: str = "text") -> D
     """
     narrow = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     sample = (
-        narrow.where(F.length("text") >= 2 * MIN_WORDS)
+        narrow.where(F.length("text").between(2 * MIN_WORDS, SAMPLE_CHARS))
         .orderBy(F.xxhash64("text"), "id")
         .limit(SAMPLE_ROWS)
-        .select(F.substring("text", 1, 20_000).alias("text"))  # of the sample only: it bounds what is fitted on
+        .select("text")
         .collect()
     )
     fitted = fit_on([r["text"] for r in sample])
