@@ -82,22 +82,19 @@ def add_numbers(leveled: DataFrame) -> DataFrame:
     return ready.select("paper_id", "seq", n.alias("number"), F.when(counts, F.concat(n.cast("string"), F.lit(". "), F.col("content"))).otherwise(F.col("content")).alias("content"))
 
 
-def next_number(level: int, counters: list[int]) -> str:
-    """Hierarchical counter: the level's counter steps, deeper ones start again."""
-    counters[level - 1] += 1
-    counters[level:] = [0] * (len(counters) - level)
-    return ".".join(str(c or 1) for c in counters[:level])
+def hierarchical_numbers(leveled: DataFrame, depth: int = 6) -> DataFrame:
+    """(paper_id, seq, number): dotted numbers of all levels.
 
-
-def hierarchical_numbers(leveled: DataFrame) -> DataFrame:
-    """(paper_id, seq, number): dotted numbers of all levels; headings are few, so a paper is one group."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        counters = [0] * 6
-        pdf = pdf.sort_values("seq")
-        return pdf.assign(number=[next_number(int(v), counters) for v in pdf["level"]])[["paper_id", "seq", "number"]]
-
-    return leveled.select("paper_id", "seq", "level").groupBy("paper_id").applyInPandas(run, "paper_id string, seq bigint, number string")
+    The counter of a level runs within the counters above it and starts again with them;
+    a level that was skipped counts as 1.
+    """
+    out, within = leveled.select("paper_id", "seq", "level"), ["paper_id"]
+    for k in range(1, depth + 1):
+        w = Window.partitionBy(*within).orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+        out = out.withColumn(f"n{k}", F.sum((F.col("level") == k).cast("int")).over(w))
+        within = [*within, f"n{k}"]
+    parts = F.array(*[F.greatest(F.col(f"n{k}"), F.lit(1)).cast("string") for k in range(1, depth + 1)])
+    return out.select("paper_id", "seq", F.array_join(F.slice(parts, F.lit(1), F.least("level", F.lit(depth))), ".").alias("number"))
 
 
 def roman_gaps(leveled: DataFrame) -> DataFrame:

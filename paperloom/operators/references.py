@@ -41,11 +41,10 @@ def entry_starts(text: str, last: int) -> list[tuple[int, int, bool]]:
     return [(at, n, run) for at, (n, run) in sorted(marks.items())]
 
 
-def split_rows(texts: list[str]) -> list[tuple[int | None, str]]:
-    """(number, raw) of the entries in the rows of one reference list."""
+def split_rows(texts: list[str], last: int = 0) -> list[tuple[int | None, str]]:
+    """(number, raw) of the entries in the rows of one reference list; ``last``: the dotted number before it."""
     texts = [t.strip() for t in texts if t and t.strip()]
     entries: list[list] = []
-    last = 0
     for text in texts:
         marks = entry_starts(text, last)
         if not marks:
@@ -75,22 +74,35 @@ def split_rows(texts: list[str]) -> list[tuple[int | None, str]]:
     return out
 
 
+#: Pages of a reference list that are split together.
+LIST_PAGES = 64
+
+
 def split_entries(rows: DataFrame) -> DataFrame:
     """(paper_id, pos, n, raw): the entries of each paper's reference rows.
 
-    The counter of dotted numbers runs over the whole list, so a list is one group; it
-    holds one paper's bibliography.
+    The counter of dotted numbers runs on from row to row, so a list is split in order, in
+    groups of LIST_PAGES pages; a group after the first takes up the count where its first
+    numbered row stands. Positions run over the whole paper.
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["seq", "sub"])
-        found = split_rows(pdf["content"].tolist())
+        texts = pdf["content"].tolist()
+        first = next((m for t in texts if (m := _OPEN.match(t or ""))), None)
+        start = int(first.group(2) or first.group(3) or 1) - 1 if first and pdf["chunk"].iloc[0] > 0 else 0
+        found = split_rows(texts, start)
         return pd.DataFrame(
-            {"paper_id": pdf["paper_id"].iloc[0], "pos": range(1, len(found) + 1), "n": pd.array([n for n, _ in found], dtype="Int32"), "raw": [r for _, r in found]}
-        )
-
-    refs = rows.where(F.col("kind") == "reference").select("paper_id", "seq", "sub", "content")
-    return refs.groupBy("paper_id").applyInPandas(run, "paper_id string, pos int, n int, raw string")
+            {"paper_id": pdf["paper_id"].iloc[0], "chunk": pdf["chunk"].iloc[0], "k": range(1, len(found) + 1),
+             "n": pd.array([n for n, _ in found], dtype="Int32"), "raw": [r for _, r in found]}
+        )
+
+    chunk = F.floor(F.col("page_idx") / LIST_PAGES).cast("int").alias("chunk")
+    refs = rows.where((F.col("kind") == "reference") & F.col("paper_id").isNotNull()).select("paper_id", chunk, "seq", "sub", "content")
+    parts = refs.groupBy("paper_id", "chunk").applyInPandas(run, "paper_id string, chunk int, k int, n int, raw string")
+    w = Window.partitionBy("paper_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    before = parts.groupBy("paper_id", "chunk").agg(F.count("*").alias("c")).select("paper_id", "chunk", F.coalesce(F.sum("c").over(w), F.lit(0)).alias("before"))
+    return parts.join(before, ["paper_id", "chunk"]).select("paper_id", (F.col("before") + F.col("k")).cast("int").alias("pos"), "n", "raw")
 
 
 def bracket_entries(rows: DataFrame) -> DataFrame:

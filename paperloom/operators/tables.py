@@ -65,13 +65,18 @@ def continuations(rows: DataFrame) -> DataFrame:
     stands between, its caption is missing, says so, or names the same number, and the
     column counts agree where both are known. Prose between two tables is a count over
     the rows between, taken from a running count; the windows run over tables, which are
-    few in a paper, after the running count of prose has been aggregated per page.
+    few in a paper; prose is counted within each page and over whole pages before it.
     """
     prose = (F.col("kind").isin("paragraph", "heading", "equation", "image", "reference")) & (F.length(F.coalesce("content", F.lit(""))) > 40)
+    marked = rows.withColumn("prose", prose.cast("int"))
+    on_page = Window.partitionBy("paper_id", "page_idx").orderBy("seq", "sub").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("paper_id").orderBy("page_idx").rowsBetween(Window.unboundedPreceding, -1)
+    per_page = marked.groupBy("paper_id", "page_idx").agg(F.sum("prose").alias("n"))
+    per_page = per_page.select("paper_id", "page_idx", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
+    here = marked.withColumn("here", F.sum("prose").over(on_page)).where(F.col("kind") == "table")
     w = Window.partitionBy("paper_id").orderBy("seq", "sub")
-    counted = rows.withColumn("prose", F.sum(prose.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    tables = counted.where(F.col("kind") == "table").select(
-        "paper_id", "seq", "sub", "page_idx", "caption", "prose", column_count(F.col("content")).alias("cols")
+    tables = here.join(per_page, ["paper_id", "page_idx"]).select(
+        "paper_id", "seq", "sub", "page_idx", "caption", (F.col("earlier") + F.col("here")).alias("prose"), column_count(F.col("content")).alias("cols")
     )
     prev = lambda c: F.lag(c).over(w)
     num = T.table_number(F.col("caption"))
