@@ -146,3 +146,39 @@ def rectangle(bbox: Column, space: Column, width: Column, height: Column, pad: f
         clip(at(0, width) - pad, width).alias("x0"), clip(at(1, height) - pad, height).alias("y0"),
         clip(at(2, width) + pad, width).alias("x1"), clip(at(3, height) + pad, height).alias("y1"),
     )
+
+
+def ensure_reference_heading(rows: DataFrame) -> DataFrame:
+    """Adds a ``References`` heading before the first reference of papers that have references and no such heading."""
+    heads = rows.where((F.col("kind") == "heading") & T.is_reference_heading(F.col("content"))).select("paper_id").distinct()
+    first = rows.where(F.col("kind") == "reference").groupBy("paper_id").agg(F.min(F.struct("seq", "page_idx")).alias("f"))
+    lack = first.join(heads, "paper_id", "left_anti")
+    new = lack.select("paper_id", F.col("f.seq").alias("seq"), F.lit("heading").alias("kind"), F.lit(1).alias("level"), F.col("f.page_idx").alias("page_idx"), F.lit(None).cast("string").alias("caption"), F.lit("References").alias("content"), F.lit(-1).alias("sub"))
+    return rows.unionByName(new)
+
+
+def tidy_anchors(rows: DataFrame) -> DataFrame:
+    """Page anchors that something follows on their page; the others mark nothing."""
+    real = rows.where(F.col("kind") != "page_anchor").select("paper_id", "page_idx").distinct()
+    anchors = rows.where(F.col("kind") == "page_anchor")
+    return rows.where(F.col("kind") != "page_anchor").unionByName(anchors.join(real, ["paper_id", "page_idx"], "left_semi").select(rows.columns))
+
+
+def page_counts(blocks: DataFrame) -> DataFrame:
+    """(paper_id, pages): pages that a paper's blocks reach."""
+    return blocks.groupBy("paper_id").agg((F.max(F.coalesce("page_idx", F.lit(0))) + 1).alias("pages"))
+
+
+def page_frames(pages: DataFrame) -> DataFrame:
+    """(paper_id, page, text, split): each page's text with the next page's after it, and where that begins."""
+    nxt = pages.select("paper_id", (F.col("page") - 1).alias("page"), F.col("text").alias("next"))
+    j = pages.join(nxt, ["paper_id", "page"], "left")
+    return j.select("paper_id", "page", F.concat(F.col("text"), F.coalesce("next", F.lit(""))).alias("text"), F.when(F.col("next").isNotNull(), F.length("text")).alias("split"))
+
+
+def resolve_images(blocks: DataFrame, images: DataFrame) -> DataFrame:
+    """Blocks whose image exists in a listing (paper_id, path), by its bare name; links are left out."""
+    name = F.regexp_extract("img_path", r"([^/]+)$", 1)
+    have = images.select("paper_id", F.regexp_extract("path", r"([^/]+)$", 1).alias("name")).distinct()
+    local = blocks.where(F.col("img_path").isNotNull() & ~T.is_url(F.col("img_path"))).withColumn("name", name)
+    return local.join(have, ["paper_id", "name"], "left_semi")

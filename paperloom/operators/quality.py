@@ -140,3 +140,30 @@ def findings(**tables: DataFrame) -> DataFrame:
         row = t.select(F.lit(rule).alias("rule"), F.col(key).cast("string").alias("subject"), detail.alias("detail"))
         out = row if out is None else out.unionByName(row)
     return out
+
+
+def strip_front_matter(col: Column) -> Column:
+    """A document without its leading YAML record."""
+    return F.regexp_replace(col, r"(?s)^---\n.*?\n---\n", "")
+
+
+def front_matter_fields(col: Column) -> Column:
+    """The ``key: value`` lines of a document's leading record as a map; of repeated keys the first counts."""
+    head = F.regexp_extract(col, r"(?s)^---\n(.*?)\n---\n", 1)
+    keys = F.regexp_extract_all(head, F.lit(r"(?m)^([\w-]+):\s*(.*)$"), 1)
+    values = F.regexp_extract_all(head, F.lit(r"(?m)^([\w-]+):\s*(.*)$"), 2)
+    pairs = F.arrays_zip(keys.alias("k"), values.alias("v"))
+    once = F.filter(pairs, lambda x, i: F.array_position(keys, x["k"]) == i + 1)
+    return F.map_from_entries(F.transform(once, lambda x: F.struct(x["k"], F.btrim(x["v"], F.lit('" ')))))
+
+
+def describe(line_no: Column, period: Column, repeats: Column) -> Column:
+    """Message of a degenerate loop."""
+    return F.format_string("line %d: a unit of %d signs stands %d times in a row", line_no, period, repeats)
+
+
+def block_texts(blocks: DataFrame) -> DataFrame:
+    """(paper_id, seq, text): every text, table body and caption of a block list, one row each."""
+    none = F.array().cast("array<string>")
+    parts = F.concat(F.array("text", "table_body"), *[F.coalesce(c, none) for c in ("image_caption", "chart_caption", "table_caption")])
+    return blocks.select("paper_id", "seq", F.explode(F.array_compact(parts)).alias("text")).where(F.col("text") != "")

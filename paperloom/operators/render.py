@@ -79,3 +79,15 @@ def best_attempts(attempts: DataFrame) -> DataFrame:
     """(paper_id, attempt): fewest severe findings, then most figures and tables, then most page marks; the earliest of equals."""
     w = Window.partitionBy("paper_id").orderBy("severe", -F.col("objects"), -F.col("markers"), "attempt")
     return attempts.withColumn("k", F.row_number().over(w)).where("k = 1").select("paper_id", "attempt")
+
+
+def event_lines(events: DataFrame) -> DataFrame:
+    """(run_id, seq, value): events as one JSON document each, fields without a value left out."""
+    rest = [c for c in events.columns if c not in ("run_id", "seq")]
+    return events.select("run_id", "seq", F.to_json(F.struct(*rest)).alias("value"))
+
+
+def wanted_anchors(anchors: DataFrame, asked: DataFrame) -> DataFrame:
+    """(paper_id, seq, line): an anchor element before the first row of each anchor that something links to."""
+    hit = anchors.join(asked.select("paper_id", "anchor").distinct(), ["paper_id", "anchor"], "left_semi")
+    return hit.select("paper_id", "seq", F.concat(F.lit('<a id="'), F.col("anchor"), F.lit('"></a>')).alias("line"))
