@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.text import collapse
 
+# Patterns of identifiers.
 DOI = r"(10\.\d{4,9}/[^\s\"'<>\[\]]+)"
 ARXIV_NEW = r"(?i)arXiv:\s*(\d{4}\.\d{4,5})(?:v\d+)?"
 ARXIV_OLD = r"(?i)arXiv:\s*([a-z\-]+(?:\.[A-Z]{2})?/\d{7})(?:v\d+)?"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from paperloom.functions import text as T
 
+# Limits of figure runs.
 MAX_INTERRUPT, MAX_HEIGHT, MAX_AREA = 20, 0.75, 0.9
 
 

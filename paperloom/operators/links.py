@@ -18,6 +18,7 @@ from paperloom.functions import bibliography as B
 from paperloom.functions import text as T
 from paperloom.functions.latex import skeleton
 
+# Tolerances of neighbouring pieces, in points.
 LINE_TOLERANCE, MAX_GAP, MAX_OVERLAP = 2.5, 10.0, 6.0
 
 

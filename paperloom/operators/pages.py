@@ -13,6 +13,7 @@ COVER_MARKERS = (
     "downloaded from", "for technical reasons",
 )
 MIN_MARKERS, PROSE_VETO, LONG_BLOCK_VETO, ANCHORED_BELOW = 3, 1500, 300, 5
+# Limits and sections of article boundaries.
 LEAD_MIN_CHARS, MIN_TITLE = 400, 20
 TAIL_SECTIONS = (
     "abstract", "摘要", "acknowledgments", "acknowledgements", "acknowledgement", "funding", "author contributions",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Share of the whole that each stage takes, in per cent.
+# The span of the whole that each stage takes, in per cent.
 STAGE_SPAN = {1: (0, 70), 2: (70, 80), 3: (80, 90), 4: (90, 100)}
 
 
