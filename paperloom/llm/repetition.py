@@ -14,7 +14,8 @@ from the corpus itself; every text is then judged. Judging is a narrow map.
 Words: a run of letters (case ignored), a Chinese character, a number (all alike).
 Repeated: words in a second or later occurrence of some run of ``RUN`` words.
 
-Defined cases: null, empty and wordless texts have share 0 and content share 1; texts
+Defined cases: null, empty and wordless texts, and texts in which no run stands twice, have
+share 0 and content share 1; texts
 shorter than a run repeat nothing; texts are measured whole in linear time; each row is
 judged for itself, equal rows alike; without any text the CRF keeps its start weights.
 """
@@ -179,9 +180,8 @@ def judge(text: str | None, crf: Crf) -> tuple[int, float, float]:
         return 0, 1.0, 0.0
     mask = repeated(words)
     if not mask.any():
-        labels = crf.viterbi(features(words, starts, mask)) if len(starts) > 1 else np.zeros(1, np.int8)
-    else:
-        labels = crf.viterbi(features(words, starts, mask))
+        return len(words), 1.0, 0.0  # nothing stands twice: all content
+    labels = crf.viterbi(features(words, starts, mask))
     sizes = np.diff([*starts, len(words)])
     content = float(sizes[labels == CONTENT].sum() / len(words))
     return len(words), content, float(mask.mean()) if content < RETAIN else 0.0
