@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -126,37 +127,49 @@ def is_byline(text: Column) -> Column:
     return (F.length(text) < 300) & ((F.regexp_count(text, F.lit(r"\$\^\{")) >= 2) | text.rlike(r"^By\s"))
 
 
+_MERGED = pa.schema([("paper_id", pa.string()), ("seq", pa.int64()), ("sub", pa.int32()), ("parts", pa.int32()), ("content", pa.string())])
+
+
+def runs_on(text: str, after: str, short: int, long: int) -> bool:
+    """The paragraph ``after`` continues ``text``: no terminal end, and short or with a sign of going on."""
+    end = text.rstrip()
+    if not end or _TERMINAL.search(end) or (end[-1].isdigit() and after[:1].isdigit()):
+        return False
+    return len(text) < short or (len(text) < long and bool(_SIGNAL.search(end) or after[:1].islower()))
+
+
 def merge_fragments(rows: DataFrame, short: int = 200, long: int = 4000) -> DataFrame:
-    """(paper_id, seq, parts, content): paragraphs whose text runs on in the next one.
+    """(paper_id, seq, sub, parts, content): paragraphs of a page whose text runs on in the next one.
 
     Whether the next piece joins depends on the text merged so far, so the fold is
-    sequential. It is cut into islands first: an island ends at every row that can never
-    be continued (not a paragraph, or a terminal end with a capital start after it), which
-    keeps a paper of any size spread over many small groups.
+    sequential: rows are partitioned and sorted by page, and each task folds its pages in
+    one stream that holds no more than the paragraph in hand.
     """
-    w = Window.partitionBy("paper_id", "page_idx").orderBy("seq", "sub")
-    p = rows.where(F.col("kind") != "page_anchor").select("paper_id", "page_idx", "seq", "sub", "kind", "content")
-    prev_ok = (F.lag("kind").over(w) == "paragraph") & ~F.coalesce(ends_terminal(F.lag("content").over(w)), F.lit(False))
-    p = p.withColumn("new", (~((F.col("kind") == "paragraph") & F.coalesce(prev_ok, F.lit(False)))).cast("int"))
-    p = p.withColumn("island", F.sum("new").over(w)).where(F.col("kind") == "paragraph")
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        out: list[list] = []
-        for r in pdf.sort_values(["seq", "sub"]).itertuples():
-            text = r.content or ""
-            last = out[-1] if out else None
-            if last and not _TERMINAL.search(last[4].rstrip()) and (
-                len(last[4]) < short or (len(last[4]) < long and (_SIGNAL.search(last[4].rstrip()) or text[:1].islower()))
-            ) and not (last[4][-1:].isdigit() and text[:1].isdigit()):
-                last[3] += 1
-                last[4] = f"{last[4].rstrip()} {text.lstrip()}"
-            else:
-                out.append([r.paper_id, r.seq, r.sub, 1, text])
-        return pd.DataFrame(out, columns=["paper_id", "seq", "sub", "parts", "content"])
-
-    return p.select("paper_id", "page_idx", "island", "seq", "sub", "content").groupBy("paper_id", "page_idx", "island").applyInPandas(
-        fold, "paper_id string, seq bigint, sub int, parts int, content string"
-    )
+
+    def fold(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        page, held = None, None
+        for b in it:
+            out: list[list] = []
+            for paper, page_idx, seq, sub, kind, content in zip(*(c.to_pylist() for c in b.columns)):
+                text = content or ""
+                same = page == (paper, page_idx)
+                if held and same and kind == "paragraph" and runs_on(held[4], text, short, long):
+                    held[3] += 1
+                    held[4] = f"{held[4].rstrip()} {text.lstrip()}"
+                    continue
+                if held:
+                    out.append(held)
+                page, held = (paper, page_idx), [paper, seq, sub, 1, text] if kind == "paragraph" else None
+            yield _merged_batch(out)
+        yield _merged_batch([held] if held else [])
+
+    pages = rows.where(F.col("kind") != "page_anchor").select("paper_id", "page_idx", "seq", "sub", "kind", "content")
+    ordered = pages.repartition("paper_id", "page_idx").sortWithinPartitions("paper_id", "page_idx", "seq", "sub")
+    return ordered.mapInArrow(fold, "paper_id string, seq bigint, sub int, parts int, content string")
+
+
+def _merged_batch(rows: list[list]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(_MERGED)], schema=_MERGED)
 
 
 def split_legends(rows: DataFrame) -> DataFrame:

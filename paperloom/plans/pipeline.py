@@ -14,7 +14,7 @@ from paperloom.operators import render as RD
 from paperloom.operators import tables as TB
 from paperloom.operators import xmldoc as XD
 from paperloom.registry import Registry
-from paperloom.session import table
+from paperloom.session import cut_lineage, table
 from paperloom.settings import Settings
 
 PIPELINE = Registry()
@@ -33,10 +33,12 @@ def convert(blocks: DataFrame, papers: DataFrame, settings: Settings | None = No
     covers = PG.cover_pages(b, papers).where("is_cover").select("paper_id", F.lit(0).alias("page_idx"))
     rows = BL.intermediate(b.join(covers, ["paper_id", "page_idx"], "left_anti"))
     if s.article_boundary:
-        rows = PG.within_article(rows, papers)
-    lv = HD.add_numbers(HD.levels(rows)).select("paper_id", "seq", F.col("content").alias("numbered"))
-    levels = HD.levels(rows).select("paper_id", "seq", F.col("level").alias("real"))
-    rows = rows.join(lv, ["paper_id", "seq"], "left").join(levels, ["paper_id", "seq"], "left")
+        rows = PG.within_article(cut_lineage(rows), papers)
+    rows = cut_lineage(rows)  # read by the headings and by the rendering
+    levels = HD.levels(rows)
+    numbered = HD.add_numbers(levels).select("paper_id", "seq", F.col("content").alias("numbered"))
+    heads = levels.select("paper_id", "seq", F.col("level").alias("real")).join(numbered, ["paper_id", "seq"])
+    rows = rows.join(heads, ["paper_id", "seq"], "left")
     head = F.col("kind") == "heading"
     rows = rows.withColumn("content", F.when(head, F.coalesce("numbered", "content")).otherwise(F.col("content")))
     rows = rows.withColumn("level", F.when(head, F.coalesce("real", "level")).otherwise(F.col("level"))).drop("numbered", "real")

@@ -54,3 +54,13 @@ def test_command_line(spark, small, tmp_path, capsys):
     assert cli.main([small, "-o", str(tmp_path), "--limit", "3", "--headless"]) == 0
     assert json.loads(capsys.readouterr().out.strip().split("\n")[-1])["event"] == "done"
     assert spark.read.parquet(str(tmp_path / "documents")).select("paper_id").distinct().count() <= 3
+
+
+def test_fragments_merge_within_a_page(spark):
+    from paperloom.operators import headings as HD
+
+    rows = [("a", 1, 1, "paragraph", 0, 0, None, "The first part"), ("a", 2, 1, "paragraph", 0, 0, None, "goes on here."), ("a", 3, 1, "paragraph", 0, 0, None, "New one"),
+            ("a", 4, 1, "image", 0, 0, "c", None), ("a", 5, 1, "paragraph", 0, 0, None, "after the image"), ("a", 6, 1, "paragraph", 0, 1, None, "other page"), ("b", 1, 1, "paragraph", 0, 0, None, "x 1"), ("b", 2, 1, "paragraph", 0, 0, None, "2 y")]
+    got = {(r.paper_id, r.seq): (r.parts, r.content) for r in HD.merge_fragments(spark.createDataFrame(rows, ROWS)).collect()}
+    assert got == {("a", 1): (2, "The first part goes on here."), ("a", 3): (1, "New one"), ("a", 5): (1, "after the image"), ("a", 6): (1, "other page"), ("b", 1): (1, "x 1"), ("b", 2): (1, "2 y")}
+    assert HD.merge_fragments(spark.createDataFrame([], ROWS)).count() == 0
