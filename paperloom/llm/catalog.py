@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paperloom.llm import bpe, languages, leaks, lookalike, markup, names, repetition, scans
 from paperloom.registry import Registry
-from paperloom.session import table
+from paperloom.session import cut_lineage, table
 
 LLM = Registry()
 
@@ -84,7 +84,7 @@ def p4_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p4_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importance of every style node of every paper."""
     nodes = markup.presentation_nodes(table(spark, sf_dir, "blocks", "block_id", "paper_id", "text", "table_body"))
-    return markup.style_tree(nodes)
+    return markup.style_tree(cut_lineage(nodes))
 
 
 def _name_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
