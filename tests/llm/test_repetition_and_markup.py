@@ -103,3 +103,10 @@ def test_markup_edges(spark):
     got = {tuple(r) for r in markup.found(blocks(spark, rows)).collect()}
     assert got == {(1, "text", "markdown"), (1, "table_body", "html"), (1, "table_body", "latex"), (4, "text", "html")}
     assert markup.found(blocks(spark, rows).limit(0)).count() == 0
+
+
+def test_plain_texts_are_tidied_alike(spark):
+    texts = ["a  b\n\n\n\nc ", " x　y \n z", "", " ", "one\r\ntwo", " a"]
+    df = blocks(spark, [(i, "p", t, None) for i, t in enumerate(texts)]).drop("host")
+    got = {r.block_id: r.clean for r in markup.clean(df).collect()}
+    assert got == {i: markup.render(t) for i, t in enumerate(texts)}
