@@ -89,7 +89,7 @@ def ir_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
       when label in ('image', 'chart') then 'image' when label in ('header', 'footer', 'page_number', 'aside_text', 'page_footnote', 'equation', 'table') then label else 'text' end as type,
       trim(replace(regexp_replace(regexp_replace(content, '</?div[^>]*>', '', 'g'), '\\$ +([^$]+?) +\\$', '$\\1$', 'g'), '\\n', ' ')) as txt from r),
     u as (select *, case when type = 'text' then regexp_replace(txt, '^#{1,6}\\s+', '') else txt end as txt2 from t)
-    select type, count(*) as n, sum(length(txt2)) as chars from u where type in ('header', 'footer', 'page_number', 'aside_text', 'page_footnote', 'image') or txt2 <> '' group by 1""",
+    select type, count(*) as n, cast(sum(length(txt2)) as bigint) as chars from u where type in ('header', 'footer', 'page_number', 'aside_text', 'page_footnote', 'image') or txt2 <> '' group by 1""",
 )
 def layout_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocks by the type their layout label means, with the characters that cleaning leaves."""
@@ -145,7 +145,7 @@ def table_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     "table_shape",
     f"""with {_CELL_SQL}, w as (select block_id, row_no, sum(span) as width, count(*) as cells from d group by 1, 2),
     n as (select block_id, count(*) as n_rows from r group by 1)
-    select n.block_id, n.n_rows, coalesce(max(w.width), 0) as n_cols, coalesce(sum(w.cells), 0) as n_cells from n left join w using (block_id) group by 1, 2""",
+    select n.block_id, n.n_rows, cast(coalesce(max(w.width), 0) as int) as n_cols, cast(coalesce(sum(w.cells), 0) as int) as n_cells from n left join w using (block_id) group by 1, 2""",
 )
 def table_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, columns and cells of every HTML table."""
@@ -187,7 +187,7 @@ def _mark(m: str) -> str:
     return "max(case when contains(lower(t), '" + m.replace("'", "''") + "') then 1 else 0 end)"
 
 
-_FEATURES = f"""f as (select paper_id, {' + '.join(_mark(m) for m in PG.COVER_MARKERS)} as markers, sum(length(t)) as prose, max(length(t)) as longest,
+_FEATURES = f"""f as (select paper_id, {' + '.join(_mark(m) for m in PG.COVER_MARKERS)} as markers, cast(sum(length(t)) as bigint) as prose, max(length(t)) as longest,
   max(type in ('image', 'equation', 'table')) as rich, max(regexp_matches(t, '^\\s*\\d+(\\.\\d+)?\\.?\\s+[A-Z]\\w') and length(t) < 80) as numbered
   from (select *, trim(coalesce(text, '')) as t from b where coalesce(page_idx, 0) = 0 and type not in {NOISE}) group by 1)"""
 
@@ -271,7 +271,7 @@ _PREFIX = "(regexp_matches(content, '^\\d+(\\.\\d+)*\\.?\\s+\\S') or regexp_matc
     "heading_numbers",
     f"""with {_IR}, {_LEVELS}, np as (select paper_id, (count(*) filter (where {_PREFIX}) >= greatest(2, ceil(count(*) * 0.2))) or (count(*) filter (where regexp_matches(content, '^([IVX]+)\\.\\s+\\S')) >= 2) as numbered from lv group by 1),
     c as (select lv.*, level = 1 and {_norm('content')} not in {_FIX} and not numbered as counts from lv join np using (paper_id))
-    select paper_id, seq, case when counts then sum(case when counts then 1 else 0 end) over (partition by paper_id order by seq rows unbounded preceding) end as number,
+    select paper_id, seq, cast(case when counts then sum(case when counts then 1 else 0 end) over (partition by paper_id order by seq rows unbounded preceding) end as bigint) as number,
     case when counts then cast(sum(case when counts then 1 else 0 end) over (partition by paper_id order by seq rows unbounded preceding) as varchar) || '. ' || content else content end as content from c""",
 )
 def heading_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -418,7 +418,7 @@ def reference_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return RF.payload(table(spark, sf_dir, "refs"))
 
 
-@CORPUS.add("reference_share", "select paper_id, count(*) as entries, sum(length(text)) as chars from blocks where type = 'ref_text' and length(trim(regexp_replace(text, '\\s+', ' ', 'g'))) > 0 group by 1")
+@CORPUS.add("reference_share", "select paper_id, count(*) as entries, cast(sum(length(text)) as bigint) as chars from blocks where type = 'ref_text' and length(trim(regexp_replace(text, '\\s+', ' ', 'g'))) > 0 group by 1")
 def reference_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bibliography rows and characters per paper."""
     return RF.reference_text_share(table(spark, sf_dir, "blocks", "paper_id", "type", "text"))
@@ -529,7 +529,7 @@ def links_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return LK.resolve(LK.mentions(rows), LK.targets_of(rows)).select("paper_id", "seq", "sub", "category", "number", "target_seq")
 
 
-@CORPUS.add("link_stats", f"with {_IR}, {_MENTIONS}, {_TARGETS} select category, count(target_seq) as ok, sum(case when target_seq is null then 1 else 0 end) as dropped from m left join one using (paper_id, category, number) group by 1")
+@CORPUS.add("link_stats", f"with {_IR}, {_MENTIONS}, {_TARGETS} select category, count(target_seq) as ok, cast(sum(case when target_seq is null then 1 else 0 end) as bigint) as dropped from m left join one using (paper_id, category, number) group by 1")
 def link_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Resolved and dropped links per category."""
     rows = _rows(spark, sf_dir)
@@ -745,3 +745,16 @@ _scalar("text_skeleton", None, "text", lambda c: L.skeleton_col(c)["skel"])
 def title_hygiene(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parsed titles without numbers and arXiv tails."""
     return table(spark, sf_dir, "refs", "ref_id", "title", "raw").select("ref_id", B.title(F.col("title"), F.col("raw")).alias("title"))
+
+
+def _typed(sql: str, casts: dict[str, str]) -> str:
+    """The statement with columns in the types that the engine gives them."""
+    return f"select * replace ({', '.join(f'cast({c} as {t}) as {c}' for c, t in casts.items())}) from ({sql})"
+
+
+for _name, _casts in {
+    "ir_rows": {"sub": "int", "chars": "int"}, "table_cells": {"row_no": "int", "col_no": "int"}, "table_shape": {"n_rows": "int"},
+    "cover_features": {"longest": "int"}, "heading_levels": {"level": "int"}, "packed_references": {"marks": "int"},
+    "links_resolved": {"sub": "int"}, "linked_citations": {"sub": "int"}, "rendered_lines": {"sub": "int"},
+}.items():
+    CORPUS.sql[_name] = _typed(CORPUS.sql[_name], _casts)

@@ -80,7 +80,7 @@ def rel_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.sessions(e, "user_id", "ts", F.expr("interval 6 hours")).groupBy("user_id", F.col("island").cast("bigint").alias("island")).agg(F.count("*").alias("n"))
 
 
-@RELATIONAL.add("rel_top_k", "select o_custkey, o_orderkey, rank from (select *, row_number() over (partition by o_custkey order by o_totalprice desc, o_orderkey) as rank from orders) where rank <= 3")
+@RELATIONAL.add("rel_top_k", "select o_custkey, o_orderkey, cast(rank as int) as rank from (select *, row_number() over (partition by o_custkey order by o_totalprice desc, o_orderkey) as rank from orders) where rank <= 3")
 def rel_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three dearest orders of each customer."""
     o = table(spark, sf_dir, "orders", "o_custkey", "o_orderkey", "o_totalprice")
