@@ -23,6 +23,7 @@ whatever its length; equal rows give equal output rows; further columns are igno
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -143,21 +144,32 @@ def _quoted_references(text: str, at: int):
     return (out, at) if len(out) > 1 and all(_YEAR.search(v) for v, _ in out) else None
 
 
+#: How far before a stop the end of a reference is looked for.
+_END_REACH = 120
+
+
 def _plain_references(text: str, at: int):
-    """Bare references: split at the stops whose both sides are whole."""
+    """Bare references: split at the stops whose both sides are whole.
+
+    Years are located once and each stop looks at a bounded stretch before it, so that the
+    time is linear in the text.
+    """
+    years = [m.start() for m in _YEAR.finditer(text)]
     pieces, begin, mark = [], at, _mark(text, at)
     scan = begin
     while m := _STOP.search(text, scan):
-        left, right = text[begin : m.start()], text[m.end() :]
-        nxt = _mark(text, m.end())
+        stop, go = m.span()
+        nxt = _mark(text, go)
         sign = m.group(0).strip() or "\n" in m.group(0) or "\t" in m.group(0)
-        whole = bool(_YEAR.search(left) and _DONE.search(left) and _YEAR.search(right))
-        if whole and (sign or _follows(mark, nxt) or (m.end() - m.start() > 1 and nxt is None)):
-            pieces.append(left)
-            begin = scan = m.end()
+        k = bisect_left(years, begin)
+        dated = k < len(years) and years[k] + 4 <= stop and years[-1] >= go
+        whole = dated and _DONE.search(text, max(begin, stop - _END_REACH), stop)
+        if whole and (sign or _follows(mark, nxt) or (go - stop > 1 and nxt is None)):
+            pieces.append(text[begin:stop])
+            begin = scan = go
             mark = nxt
         else:
-            scan = m.end() if m.end() > m.start() else m.end() + 1
+            scan = go if go > stop else go + 1
     pieces.append(text[begin:])
     out = []
     for p in pieces:

@@ -55,3 +55,12 @@ def test_long_list_is_whole(spark):
     got = packed.labelled_lists(df)
     assert got.count() == 40_000 and got.agg({"pos": "max"}).first()[0] == 20_000
     assert packed.labelled_lists(df.limit(0)).count() == 0
+
+
+def test_long_raw_is_linear():
+    import time
+
+    raw = "\n".join(f"[{i}] " + A for i in range(1, 3001)) + "\n" + "x; y\n" * 20_000
+    began = time.time()
+    assert len(packed.reference_list(raw)) == 3000
+    assert time.time() - began < 20
