@@ -19,9 +19,11 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -116,25 +118,30 @@ def _strings(path: str) -> dict[int, bytes]:
     return {v: k for k, v in load_ranks(path).items()}
 
 
-def _map(df: DataFrame, id_col: str, col: str, schema: str, arrow_type: pa.DataType, f: Callable[[], Callable]) -> DataFrame:
+def encode_corpus(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
+    """(id, ids) of every row; the ids of a batch go into one flat buffer of 32-bit numbers."""
+    where = path or vocabulary_path()
+
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        g = f()
+        encode = encoder(where)
         for batch in it:
-            out = pa.array([g(x) for x in batch.column(1).to_pylist()], type=arrow_type)
-            yield pa.RecordBatch.from_arrays([batch.column(0), out], names=["id", "out"])
+            flat, ends = array("i"), array("i", [0])
+            for text in batch.column(1):
+                flat.extend(encode(text.as_py()))
+                ends.append(len(flat))
+            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32) if flat else [], pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["id", "ids"])
 
-    return df.select(F.col(id_col).cast("bigint").alias("id"), F.col(col).alias("x")).mapInArrow(batches, schema)
-
-
-def encode_corpus(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
-    """(id, ids) of every row."""
-    where = path or vocabulary_path()
-    return _map(df, id_col, text_col, "id bigint, out array<int>", pa.list_(pa.int32()), lambda: encoder(where)).withColumnRenamed("out", "ids")
+    return df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("x")).mapInArrow(batches, "id bigint, ids array<int>")
 
 
 def decode_corpus(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path: str | None = None) -> DataFrame:
     """(id, text) of every row of token ids; a null list gives a null text."""
     where = path or vocabulary_path()
-    return _map(
-        df, id_col, ids_col, "id bigint, out string", pa.string(), lambda: lambda ids: None if ids is None else decode(ids, where)
-    ).withColumnRenamed("out", "text")
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            texts = [None if x is None else decode(x, where) for x in (v.as_py() for v in batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["id", "text"])
+
+    return df.select(F.col(id_col).cast("bigint").alias("id"), F.col(ids_col).alias("x")).mapInArrow(batches, "id bigint, text string")
