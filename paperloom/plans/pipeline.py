@@ -16,6 +16,7 @@ from paperloom.operators import xmldoc as XD
 from paperloom.registry import Registry
 from paperloom.session import cut_lineage, table
 from paperloom.settings import Settings
+from paperloom.sources.staging import within_pages
 
 PIPELINE = Registry()
 
@@ -23,13 +24,12 @@ PIPELINE = Registry()
 def convert(blocks: DataFrame, papers: DataFrame, settings: Settings | None = None) -> DataFrame:
     """(paper_id, page_idx, body): blocks and records of a corpus as Markdown pages.
 
-    Too long papers and covers are left out by anti joins, rows become typed, the article
-    is cut to its boundaries, headings get their levels, citations their links, and each
-    page is rendered on its own.
+    Covers are left out by an anti join, rows become typed, the article is cut to its
+    boundaries, headings get their levels, citations their links, and each page is rendered
+    on its own. A paper may have any number of pages, unless ``max_pages`` sets a limit.
     """
     s = settings or Settings()
-    long = blocks.groupBy("paper_id").agg(F.max("page_idx").alias("p")).where(F.col("p") + 1 > s.max_pages).select("paper_id")
-    b = BL.one_per_position(blocks.join(long, "paper_id", "left_anti"))
+    b = BL.one_per_position(within_pages(blocks, s.max_pages))
     covers = PG.cover_pages(b, papers).where("is_cover").select("paper_id", F.lit(0).alias("page_idx"))
     rows = BL.intermediate(b.join(covers, ["paper_id", "page_idx"], "left_anti"))
     if s.article_boundary:

@@ -10,7 +10,7 @@ from dataclasses import dataclass, fields, replace
 class Settings:
     """What a run may change; ``from_env`` reads ``PAPERLOOM_<NAME>``, the environment winning over defaults."""
 
-    max_pages: int = 200
+    max_pages: int = 0  # 0: no limit
     max_year: int = 2027
     figure_merge: bool = True
     article_boundary: bool = True

@@ -16,20 +16,25 @@ LAYOUT_PAGE = (
     "layoutParsingResults array<struct<prunedResult:struct<parsing_res_list:array<struct<block_label:string,"
     "block_content:string,block_bbox:array<double>>>>,markdown:struct<images:map<string,string>>>>"
 )
-MAX_PAGES = 200
+
+
+def within_pages(blocks: DataFrame, max_pages: int) -> DataFrame:
+    """``blocks`` without the papers of more than ``max_pages`` pages; 0 sets no limit."""
+    if max_pages <= 0:
+        return blocks
+    long = blocks.groupBy("paper_id").agg(F.max("page_idx").alias("p")).where(F.col("p") + 1 > max_pages)
+    return blocks.join(long.select("paper_id"), "paper_id", "left_anti")
 
 
 def read_block_lists(spark: SparkSession, glob: str) -> DataFrame:
     """Block-list files, one JSON array each, as rows with paper_id (the file's folder) and seq.
 
-    Malformed files give rows with ``_corrupt``; a paper of more than MAX_PAGES pages is left out.
+    Malformed files give rows with ``_corrupt``; papers of any number of pages are read.
     """
     raw = spark.read.text(glob, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
     arr = F.from_json("value", f"array<struct<{BLOCK.replace(' string', ':string').replace(' int', ':int').replace(' array', ':array')}>>")
     b = raw.select(F.element_at(F.split("path", "/"), -2).alias("paper_id"), F.posexplode_outer(arr).alias("seq", "b"))
-    rows = b.select("paper_id", F.col("seq").cast("bigint"), "b.*")
-    large = rows.groupBy("paper_id").agg(F.max("page_idx").alias("p")).where(F.col("p") + 1 > MAX_PAGES)
-    return rows.join(large.select("paper_id"), "paper_id", "left_anti")
+    return b.select("paper_id", F.col("seq").cast("bigint"), "b.*")
 
 
 def read_layout_pages(spark: SparkSession, path: str) -> DataFrame:
