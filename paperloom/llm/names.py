@@ -8,8 +8,9 @@
 3. Symmetric-delete index: each token is joined with the tokens that share one of its
    single deletions; pairs within one edit (also a swap of neighbours) remain, and a rare
    token takes its more frequent neighbour as canonical form.
-4. Block key: canonical family token and first letter of the canonical given name, a
-   nickname standing for its full name; groups (collaborations) by their own token.
+4. Block keys: canonical family token and first letter of the given name, a nickname
+   standing for its full name; a second key where the given name's own first letter is not
+   that of its canonical form; groups (collaborations) by their own token.
 5. Pairs of one block are aligned: tokens are assigned one to one so that equal, initial,
    abbreviated or mistyped tokens meet at least cost; both strings denote one entity if
    nothing is left in conflict.
@@ -52,6 +53,8 @@ NICKNAMES = {
 PARTICLES = frozenset("van von der den de del della di da du la le dos ter ten zu zur vom af av".split())
 GROUP_WORDS = frozenset("collaboration collab coll collaborations consortium group team project committee network the and of for".split())
 _MIN_EDIT = 5
+#: A token in more than FEW strings is another spelling only of one in so many times as many.
+FEW, RARE_RATIO = 3, 8
 
 
 def fold(s: str) -> str:
@@ -215,8 +218,9 @@ def deletions(token: Column) -> Column:
 def canonical_tokens(counts: DataFrame) -> DataFrame:
     """(token, canon): a rare token's better attested neighbour within one edit, else itself.
 
-    Better attested: in at least twice as many strings; among tokens of few strings also
-    simply in more, then with more neighbours, then the smaller token.
+    Better attested: in at least RARE_RATIO times as many strings; for tokens of FEW strings
+    simply in more, then with more neighbours, then the smaller token. So names that are
+    both frequent stay apart.
     """
     index = counts.where(F.length("token") >= 3).select("token", F.explode(deletions(F.col("token"))).alias("gap"))
     close = (
@@ -238,25 +242,25 @@ def canonical_tokens(counts: DataFrame) -> DataFrame:
     best = (
         ab.join(ranked, "token")
         .join(ranked.select(F.col("token").alias("near"), F.col("df").alias("ndf"), F.col("rank").alias("nrank")), "near")
-        .where((F.col("nrank") < F.col("rank")) & ((F.col("ndf") >= 2 * F.col("df")) | (F.col("df") <= 3)))
+        .where((F.col("nrank") < F.col("rank")) & ((F.col("ndf") >= RARE_RATIO * F.col("df")) | (F.col("df") <= FEW)))
         .groupBy("token")
         .agg(F.min("nrank").alias("b"))
     )
     return counts.join(best, "token", "left").select("token", F.coalesce("b.t", "token").alias("canon"), "df", "g", "s")
 
 
-_BLOCK = pa.schema([("name", pa.string()), ("block", pa.string()), ("given", pa.list_(pa.string()))])
+_BLOCK = pa.schema([("name", pa.string()), ("block", pa.string()), ("given", pa.list_(pa.string())), ("main", pa.bool_())])
 
 
 def _block(name: str, grp: bool, full: list, ini: list, family: str | None, tokens: list) -> list[tuple]:
-    """Block key and canonical given tokens of one string."""
+    """Block keys of one string with its given tokens, canonical (main) and, under a letter of their own, as written."""
     info = {t["token"]: t for t in tokens or []}
     canon = lambda t: info[t]["canon"] if t in info else t
     full = list(dict.fromkeys(full or []))
     if grp:
-        return [(name, "#" + " ".join(sorted(canon(t) for t in full)), [])] if full else []
+        return [(name, "#" + " ".join(sorted(canon(t) for t in full)), [], True)] if full else []
     if not full:
-        return [(name, "." + "".join(ini or []), [])]
+        return [(name, "." + "".join(ini or []), [], True)]
     if family is None:
 
         def score(k: int) -> tuple:
@@ -267,11 +271,15 @@ def _block(name: str, grp: bool, full: list, ini: list, family: str | None, toke
 
         family = full[max(range(len(full)), key=score)]
     given = [NICKNAMES.get(t) or NICKNAMES.get(canon(t), canon(t)) for t in full if t != family] + list(ini or [])
-    return [(name, f"{canon(family)} {given[0][0] if given else ''}", given)]
+    own = [NICKNAMES.get(t, t) for t in full if t != family] + list(ini or [])
+    out = [(name, f"{canon(family)} {given[0][0] if given else ''}", given, True)]
+    if own and own[0][0] != given[0][0]:
+        out.append((name, f"{canon(family)} {own[0][0]}", own, False))
+    return out
 
 
 def blocks(strings: DataFrame) -> DataFrame:
-    """(name, block, given) of every different string."""
+    """(name, block, given, main) of every different string: one main row, and one under its own letter where that differs."""
     names = cut_lineage(parsed(strings))
     canon = canonical_tokens(cut_lineage(token_counts(names)))
     # a mistyped token counts with the standing of its canonical form
@@ -287,7 +295,7 @@ def blocks(strings: DataFrame) -> DataFrame:
         names.join(held, "name", "left").select("name", "grp", "full", "ini", "family", "tokens"),
         _block,
         _BLOCK,
-        "name string, block string, given array<string>",
+        "name string, block string, given array<string>, main boolean",
     )
 
 
@@ -301,12 +309,12 @@ def linked(strings: DataFrame) -> DataFrame:
         lambda a, n, ga, gb: [(a, n)] if same(ga or [], gb or []) else [],
         pa.schema([("name_a", pa.string()), ("name_b", pa.string())]),
         "name_a string, name_b string",
-    )
+    ).distinct()  # two strings may share both their keys
 
 
 def entities(strings: DataFrame) -> DataFrame:
     """(name, entity): each string with the smallest string of its block."""
-    b = blocks(strings)
+    b = blocks(strings).where("main")
     return b.select("name", F.min("name").over(Window.partitionBy("block")).alias("entity"))
 
 
