@@ -39,6 +39,10 @@ LEXICON_WORDS = 400_000
 TRAIN_WORDS = 4_000
 TRAIN_BLOCKS = 6_000
 MIN_MISREAD = 2
+#: Two edits: the corpus knows the other word so many times better, or the token three times at most.
+UNKNOWN_RATIO = 64
+#: The most frequent word stands so many times as often as one that the corpus hardly knows.
+HARDLY = 1_000
 #: An example is learned until its score is so far on its own side.
 MARGIN = 1.0
 
@@ -113,6 +117,35 @@ def candidates(word: str) -> Iterator[tuple[int, str, str]]:
             at = word.find(wrong, at + 1)
 
 
+_KEY = str.maketrans(
+    {"e": "c", "1": "l", "i": "l", "0": "o", "5": "s", "9": "g", "d": "cl", "w": "vv", "n": "rl", "u": "ll", "m": "lll", "h": "ll", "b": "ll", "6": "ll", "8": "ll"}
+)
+
+
+def confusion_key(word: str) -> str:
+    """Equal for all spellings that confusions turn into each other, however many."""
+    key = word.translate(_KEY)
+    while "rrl" in key:  # rn and iii are both read for m
+        key = key.replace("rrl", "lll")
+    return key
+
+
+def two_edits(word: str, other: str) -> bool:
+    """Exactly two confusions, at places of their own, turn ``word`` into ``other``."""
+
+    def run(i: int, j: int, left: int) -> bool:
+        while True:
+            if left and any(word.startswith(a, i) and other.startswith(b, j) and run(i + len(a), j + len(b), left - 1) for a, b in CONFUSIONS):
+                return True
+            if i == len(word) or j == len(other):
+                return not left and i == len(word) and j == len(other)
+            if word[i] != other[j]:
+                return False
+            i, j = i + 1, j + 1
+
+    return run(0, 0, 2)
+
+
 def join_features(left: str, mark: str, gap: str, right: str, counts: dict[str, int]) -> list[str]:
     """Features of joining the two halves of a broken line."""
     l, r = left.lower(), right.lower()
@@ -165,6 +198,12 @@ class Editor:
         self.cache: dict[str, str] = {}
         self.good: set[str] = set()
         self.most = max(counts.values(), default=0)
+        #: so often the corpus may hold a token that it hardly knows
+        self.hardly = max(20, self.most // HARDLY)
+        self.alike: dict[str, list[str]] = defaultdict(list)
+        for w, n in counts.items():
+            if n > 8:
+                self.alike[confusion_key(w)].append(w)
 
     def word(self, word: str) -> str:
         """The token as it stood on the page."""
@@ -183,21 +222,17 @@ class Editor:
         if 8 * own >= self.most:
             return w  # no word is so much more frequent
         best = (0, w)
-        edits = list(candidates(w))
-        for at, a, b in edits:
+        for at, a, b in candidates(w):
             fixed = w[:at] + b + w[at + len(a) :]
             n = get(fixed, 0)
             if n > max(2, 8 * own, best[0]) and self.misread.score(edit_features(w, at, a, b, own, n)) > 0:
                 best = (n, fixed)
-        if best[0] or own > 3 or len(edits) > 6:
+        if best[0]:
             return best[1]
-        for i, (at, a, b) in enumerate(edits):
-            for at2, a2, b2 in edits[i + 1 :]:
-                (p, x, y), (q, u, v) = sorted([(at, a, b), (at2, a2, b2)])
-                if p + len(x) <= q:
-                    fixed = w[:p] + y + w[p + len(x) : q] + v + w[q + len(u) :]
-                    if (n := get(fixed, 0)) > max(8, best[0]):
-                        best = (n, fixed)
+        for fixed in self.alike.get(confusion_key(w), ()):
+            n = get(fixed, 0)
+            if fixed != w and (own <= 3 or n > UNKNOWN_RATIO * own) and (-n, fixed) < (-best[0], best[1]) and two_edits(w, fixed):
+                best = (n, fixed)
         return best[1]
 
     def misreads(self, text: str) -> int:
@@ -208,7 +243,7 @@ class Editor:
         for w in _PART.findall(self.unbreak(text).lower()):
             if w not in good:
                 # a digit inside a word that the corpus hardly knows is misread even if no known word comes out
-                if self.word(w) != w or (len(w) >= 4 and re.search(r"[^\W\d][0159][^\W\d]", w) and self.counts.get(w, 0) <= 20):
+                if self.word(w) != w or (len(w) >= 4 and re.search(r"[^\W\d][0159][^\W\d]", w) and self.counts.get(w, 0) <= self.hardly):
                     n += 1
                 else:
                     good.add(w)
