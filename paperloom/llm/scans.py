@@ -429,6 +429,12 @@ def judge(kind: str, page: int | None, text: str, top: float | None, lines: list
         out.append("hyphen")
     if kind != "equation" and (kind != "page_number" or is_prose(text)) and editor.misreads(text) >= MIN_MISREAD:
         out.append("chars")
+    return out + furniture_kinds(kind, page, text, top, lines, offset, first, furniture)
+
+
+def furniture_kinds(kind: str, page: int | None, text: str, top: float | None, lines: list, offset: int | None, first: bool, furniture: Perceptron) -> list[str]:
+    """What a block is or holds of page furniture, and prose typed as such: for the report and the repair alike."""
+    out = []
     if kind in ("header", "footer", "page_number"):
         if is_prose(text):
             out.append("body")
@@ -447,18 +453,19 @@ def judge(kind: str, page: int | None, text: str, top: float | None, lines: list
 
 
 def _holds_running(kind: str, text: str, lines: list) -> bool:
+    return any(True for _ in _running(kind, text, lines))
+
+
+def _running(kind: str, text: str, lines: list) -> Iterator[tuple[str, bool]]:
+    """The running lines that a block holds, and whether it holds nothing else."""
     if not lines:
-        return False
+        return
     p = plain(text)
     for line in lines:
-        at = p.find(line)
-        if at < 0:
-            continue
-        if len(p) <= len(line) + 6:
-            return True
-        if kind not in ("ref_text", "list", "page_footnote") or not _cited(text, line):
-            return True
-    return False
+        if line in p:
+            whole = len(p) <= len(line) + 6
+            if whole or kind not in ("ref_text", "list", "page_footnote") or not _cited(text, line):
+                yield line, whole
 
 
 def _cited(text: str, line: str) -> bool:
@@ -529,21 +536,24 @@ def repaired(blocks: DataFrame) -> DataFrame:
     A block that is furniture keeps an empty text; prose typed as furniture becomes text.
     """
     shared = _prepared(blocks)
-    rows = _with_evidence(_narrow(blocks), paper_evidence(blocks))
+    evidence = cut_lineage(paper_evidence(blocks))
+    rows, weights = _with_evidence(_narrow(blocks), evidence), _furniture(blocks, evidence)
     schema = pa.schema([("block_id", pa.int64()), ("type", pa.string()), ("clean", pa.string())])
     state: list[Editor] = []
 
-    def one(kind: str, page, text: str, lines: list, offset) -> tuple[str, str]:
-        n = page_number(text)
+    def one(kind: str, page, text: str, top, lines: list, offset, first: bool, furniture: Perceptron) -> tuple[str, str]:
+        kinds = furniture_kinds(kind, page, text, top, lines, offset, first, furniture)
         if kind in ("header", "footer", "page_number"):
-            return ("text", state[0].repair(text)) if is_prose(text) else (kind, "")
-        if n is not None and text.lstrip()[:1] not in "([" and (offset is None or page is None or n - page == offset):
+            if "body" not in kinds:
+                return kind, ""
+            kind = "text"
+        if "page_no" in kinds:
             return "page_number", ""
-        p = plain(text)
-        if any(line in p and len(p) <= len(line) + 6 for line in lines):
-            return "header", ""
-        for line in lines:
-            if line in p and not _cited(text, line):
+        if "running" in kinds:
+            held = list(_running(kind, text, lines))
+            if any(whole for _, whole in held):
+                return "header", ""
+            for line, _ in held:
                 loose = r"[\W_]*?".join(map(re.escape, line))
                 text = re.sub(rf"\s*(?:\b\d{{1,5}}\s{{2,}})?{loose}\)?(?:\s{{2,}}\d{{1,5}})?\s*", " ", text, flags=re.I)
         return kind, state[0].repair(text) if kind != "equation" else text
@@ -552,10 +562,11 @@ def repaired(blocks: DataFrame) -> DataFrame:
         if not state:
             counts, misread, joins = shared.value
             state.append(Editor(counts, Perceptron(misread), Perceptron(joins)))
+        furniture = Perceptron(weights)
         for b in it:
             out = [
-                (i, *one(kind or "", page, text, lines or [], offset))
-                for i, kind, page, text, _, lines, offset, _ in zip(*(c.to_pylist() for c in b.columns))
+                (i, *one(kind or "", page, text, top, lines or [], offset, seq in (0, 1), furniture))
+                for i, kind, page, text, top, lines, offset, seq in zip(*(c.to_pylist() for c in b.columns))
             ]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(schema)], schema=schema)
 
