@@ -26,6 +26,7 @@ documents with a null id are ignored.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 from pyspark.sql import Column, DataFrame
@@ -43,6 +44,10 @@ INVISIBLE = "­͏؜ᅟᅠ឴឵᠎​‌‍‎‏‪‫‬‭‮⁠⁡⁢⁣⁤
 _FORMS = ("<wide>", "<narrow>", "<font>", "<noBreak>", "<compat>", "<initial>", "<medial>", "<final>", "<isolated>", "<vertical>")
 
 
+#: Conjoining Hangul letters after the first of a syllable; the coarse key keeps the first.
+_VOWELS_AND_FINALS = re.compile("[\u1161-\u11ff\ud7b0-\ud7fb]")
+
+
 def _typographic(c: str) -> str | None:
     """The plain form of a wide, narrow or other typographic form of ``c``."""
     d = unicodedata.decomposition(c)
@@ -59,13 +64,17 @@ def _typographic(c: str) -> str | None:
 
 
 def tables() -> tuple[dict[str, str], dict[str, str], dict[str, str]]:
-    """(one-to-one map, one-to-many map, accent map) over the Basic Multilingual Plane."""
+    """(one-to-one map, one-to-many map, accent map) over all characters that have another form."""
     single: dict[str, str] = {c: "" for c in INVISIBLE}
     multi: dict[str, str] = {}
     accents: dict[str, str] = {}
-    for n in range(0x80, 0x10000):
+    # beyond the first two planes only the compatibility ideographs have other forms
+    for n in (*range(0x80, 0x20000), *range(0x2F800, 0x2FA20)):
         c = chr(n)
-        if 0xD800 <= n < 0xE000 or 0xAC00 <= n < 0xD7A4 or 0xF900 <= n < 0xFB00 or c in single:
+        if 0xD800 <= n < 0xE000 or c in single:
+            continue
+        if _VOWELS_AND_FINALS.fullmatch(c):
+            accents[c] = ""
             continue
         if (p := _typographic(c)) is not None and p != c:
             (single if len(p) == 1 else multi)[c] = p
@@ -75,12 +84,20 @@ def tables() -> tuple[dict[str, str], dict[str, str], dict[str, str]]:
             accents[c] = ""
         else:
             base = unicodedata.normalize("NFD", c)
-            if len(base) > 1 and unicodedata.combining(base[1]):
+            if len(base) > 1 and (unicodedata.combining(base[1]) or 0xAC00 <= n < 0xD7A4):
                 accents[c] = base[0]
+            elif len(base) == 1 and base != c:
+                single[c] = base
     for extra in (CYRILLIC, GREEK, SIGNS):
         single.update({k: v for k, v in extra.items() if k != v})
     chain = lambda v: single.get(v, v)
     single = {k: chain(v) for k, v in single.items()}
+    # composed letters go with the letter that they are composed on
+    for c, v in accents.items():
+        base = unicodedata.normalize("NFD", c)
+        if v in single and len(base) > 1:
+            whole = unicodedata.normalize("NFC", single[v] + base[1:])
+            (single if len(whole) == 1 else multi)[c] = whole
     accents = {k: chain(v) for k, v in accents.items()}
     return single, multi, accents
 
@@ -88,6 +105,9 @@ def tables() -> tuple[dict[str, str], dict[str, str], dict[str, str]]:
 _SINGLE, _MULTI, _ACCENTS = tables()
 _COMMON_LIGATURES = [c for c in _MULTI if 0xFB00 <= ord(c) <= 0xFB06 or c in "ĲĳǄǅǆǇǈǉǊǋǌǱǲǳŉ"]
 
+_COMPOSED = [c for c in _ACCENTS if c in _MULTI]
+_COARSE = {k: _ACCENTS.get(v, v) for k, v in (_SINGLE | _ACCENTS).items()}
+
 
 def _translate(col: Column, table: dict[str, str]) -> Column:
     gone = [k for k, v in table.items() if not v]
@@ -108,6 +128,10 @@ def _mapped(col: Column, table: dict[str, str]) -> Column:
     out = col
     for c in _COMMON_LIGATURES:
         out = F.replace(out, F.lit(c), F.lit(_MULTI[c]))
+    apart = out
+    for c in _COMPOSED:
+        apart = F.replace(apart, F.lit(c), F.lit(_MULTI[c]))
+    out = F.when(out.rlike(f"[{''.join(_COMPOSED)}]"), apart).otherwise(out)
     return line_ends(F.when(_plain(col), col).otherwise(_translate(out, table)))
 
 
@@ -118,7 +142,7 @@ def mapped(col: Column) -> Column:
 
 def coarse(col: Column) -> Column:
     """``mapped`` and without accents: equal for all texts that look alike."""
-    return _mapped(col, _SINGLE | _ACCENTS)
+    return _mapped(col, _COARSE)
 
 
 def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
