@@ -1,21 +1,21 @@
 """Repetition inside a single text: a linear-chain CRF over its lines.
 
 A text's words are cut into lines (at line ends, sentence ends, semicolons and after
-``LINE_WORDS`` words). Each line gets features of how much of it repeats earlier
-wording, of its length, its digits and its vocabulary; Viterbi decoding of a
-two-label linear-chain CRF marks it as content or boilerplate. A text whose content
-share is below ``RETAIN`` is not retained as it stands; for those the exact share of
-repeated words is measured and decides.
+``LINE_WORDS`` words). Each line gets features of its own wording: how many of its words
+and word pairs stood before, the longest stretch of old pairs, whether the whole line stood
+before, its length, digits and vocabulary. Viterbi decoding of a two-label linear-chain CRF
+marks the line as content or boilerplate. A text is retained if its content share is at
+least ``RETAIN``; of the others the exact share of repeated words is measured, and those of
+at least ``MIN_SHARE`` are found. The features never see the exact measure.
 
-The CRF is fitted on a bounded, deterministic sample of texts (``SAMPLE_ROWS``, those
-of the least hashes), labelled by the exact measure line by line, so its weights come
-from the corpus itself; every text is then judged. Judging is a narrow map.
+The CRF is fitted on a bounded, deterministic sample (``SAMPLE_ROWS`` texts of the least
+hashes, as many again of low vocabulary), each line labelled by the exact measure; every
+text is then judged. Judging is a narrow map.
 
 Words: a run of letters (case ignored), a Chinese character, a number (all alike).
 Repeated: words in a second or later occurrence of some run of ``RUN`` words.
 
-Defined cases: null, empty and wordless texts, and texts in which no run stands twice, have
-share 0 and content share 1; texts
+Defined cases: null, empty and wordless texts have share 0 and content share 1; texts
 shorter than a run repeat nothing; texts are measured whole in linear time; each row is
 judged for itself, equal rows alike; without any text the CRF keeps its start weights.
 """
@@ -34,13 +34,13 @@ RUN = 4
 MIN_WORDS = 20
 MIN_SHARE = 0.4
 LINE_WORDS = 12
-#: A text whose content share is below this is measured exactly.
-RETAIN = 1.0
-SAMPLE_ROWS = 1_500
+#: A text of at least this content share is retained; a found text has 0.6 at most by the exact measure.
+RETAIN = 0.75
+SAMPLE_ROWS = 750
 #: Longest text that may be in the sample.
 SAMPLE_CHARS = 20_000
 #: A line of the sample counts as boilerplate from this repeated share on.
-LINE_REPEATED = 0.2
+LINE_REPEATED = 0.5
 CONTENT, BOILERPLATE = 0, 1
 
 _WORD = re.compile(r"[㐀-䶿一-鿿豈-﫿]|[\U00020000-\U0003ffff]|[^\W\d_㐀-䶿一-鿿豈-﫿]+|\d+(?:[.,]\d+)*")
@@ -80,26 +80,42 @@ def repeated_share(text: str | None) -> tuple[int, float]:
     return len(words), float(repeated(words).mean()) if words else 0.0
 
 
-N_FEATURES = 12
+N_FEATURES = 13
 
 
-def features(words: list[str], starts: list[int], mask: np.ndarray) -> np.ndarray:
-    """One row of features per line."""
+def features(words: list[str], starts: list[int]) -> np.ndarray:
+    """One row of features per line, from the wording alone."""
     bounds = [*starts, len(words)]
     seen: set[str] = set()
-    lines: dict[tuple, int] = {}
+    pairs: set[tuple[str, str]] = set()
+    lines: set[tuple] = set()
     out = np.zeros((len(starts), N_FEATURES))
+    before = None
     for k, (a, b) in enumerate(zip(bounds, bounds[1:])):
         line = words[a:b]
-        r = mask[a:b].mean()
-        old = sum(w in seen for w in line) / len(line)
-        again = tuple(line) in lines
+        n = len(line)
+        old = old_pairs = stretch = longest = 0
+        for w in line:
+            old += w in seen
+            seen.add(w)
+            if before is not None:
+                pair = (before, w)
+                if pair in pairs:
+                    old_pairs += 1
+                    stretch += 1
+                    longest = max(longest, stretch)
+                else:
+                    pairs.add(pair)
+                    stretch = 0
+            before = w
+        key = tuple(line)
+        again = key in lines
+        lines.add(key)
+        o = old_pairs / n
         out[k] = (
-            1.0, r, r >= 0.2, r >= 0.5, r >= 0.9, old, old >= 0.9, again, len(line) / LINE_WORDS,
-            len(set(line)) / len(line), sum(w == "0" for w in line) / len(line), k > 0,
+            1.0, old / n, old == n, o, o >= 0.35, o >= 0.65, o >= 0.9, longest / n, longest >= RUN, again, n / LINE_WORDS,
+            sum(w == "0" for w in line) / n, k > 0,
         )
-        seen.update(line)
-        lines[tuple(line)] = k
     return out
 
 
@@ -108,7 +124,7 @@ class Crf:
 
     def __init__(self, w: np.ndarray | None = None, t: np.ndarray | None = None):
         start = np.zeros((N_FEATURES, 2))
-        start[2, BOILERPLATE], start[0, CONTENT] = 4.0, 2.0
+        start[5, BOILERPLATE], start[0, CONTENT] = 4.0, 2.0
         self.w = start if w is None else w
         self.t = np.array([[0.3, 0.0], [0.0, 0.3]]) if t is None else t
 
@@ -169,41 +185,51 @@ def fit_on(texts: list[str]) -> Crf:
         bounds = [*starts, len(words)]
         y = np.array([int(mask[a:b].mean() >= LINE_REPEATED) for a, b in zip(bounds, bounds[1:])])
         if y.any() or len(data) % 3 == 0:
-            data.append((features(words, starts, mask), y))
+            data.append((features(words, starts), y))
     return Crf().fit(data) if data else Crf()
 
 
-def judge(text: str | None, crf: Crf) -> tuple[int, float, float]:
-    """(words, content share by Viterbi, exact repeated share; 0 for retained texts)."""
-    words, starts = words_and_lines(text)
+def content_share(words: list[str], starts: list[int], crf: Crf) -> float:
+    """Share of the words in lines that Viterbi decoding marks as content."""
     if not words:
-        return 0, 1.0, 0.0
-    mask = repeated(words)
-    if not mask.any():
-        return len(words), 1.0, 0.0  # nothing stands twice: all content
-    labels = crf.viterbi(features(words, starts, mask))
+        return 1.0
+    labels = crf.viterbi(features(words, starts))
     sizes = np.diff([*starts, len(words)])
-    content = float(sizes[labels == CONTENT].sum() / len(words))
-    return len(words), content, float(mask.mean()) if content < RETAIN else 0.0
+    return float(sizes[labels == CONTENT].sum() / len(words))
+
+
+def judge(text: str | None, crf: Crf) -> tuple[int, float, float]:
+    """(words, content share by Viterbi, exact repeated share)."""
+    words, starts = words_and_lines(text)
+    return len(words), content_share(words, starts, crf), float(repeated(words).mean()) if words else 0.0
+
+
+def is_degenerate(text: str | None, crf: Crf) -> bool:
+    """The CRF does not retain the text, and the exact measure confirms it."""
+    words, starts = words_and_lines(text)
+    n = len(words)
+    # every repeated word stood before, so a text of more different words cannot reach the share
+    if n < MIN_WORDS or n - len(set(words)) < MIN_SHARE * n:
+        return False
+    return content_share(words, starts, crf) < RETAIN and float(repeated(words).mean()) >= MIN_SHARE
 
 
 _OUT = pa.schema([("id", pa.int64()), ("words", pa.int32()), ("content_share", pa.float64()), ("repeated_share", pa.float64())])
 
 
-def shares(df: DataFrame, id_col: str = "block_id", text_col: str = "text") -> DataFrame:
-    """(id, words, content_share, repeated_share) of every row.
+def fit(texts: DataFrame) -> Crf:
+    """The CRF of a corpus, from its bounded sample of column ``text``."""
+    usable = texts.where(F.length("text").between(2 * MIN_WORDS, SAMPLE_CHARS)).select("text")
+    split = F.split(F.lower("text"), r"\W+")
+    poor = usable.where(F.size(F.array_distinct(split)) < (1 - MIN_SHARE / 2) * F.size(split))
+    rows = [r["text"] for part in (usable, poor) for r in part.orderBy(F.xxhash64("text"), "text").limit(SAMPLE_ROWS).collect()]
+    return fit_on(sorted(set(rows)))
+
 
-    ``repeated_share`` is exact where the content share is below RETAIN, else 0.
-    """
+def shares(df: DataFrame, id_col: str = "block_id", text_col: str = "text") -> DataFrame:
+    """(id, words, content_share, repeated_share) of every row."""
     narrow = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    sample = (
-        narrow.where(F.length("text").between(2 * MIN_WORDS, SAMPLE_CHARS))
-        .orderBy(F.xxhash64("text"), "id")
-        .limit(SAMPLE_ROWS)
-        .select("text")
-        .collect()
-    )
-    fitted = fit_on([r["text"] for r in sample])
+    fitted = fit(narrow)
     w, t = fitted.w, fitted.t
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,10 +245,15 @@ def shares(df: DataFrame, id_col: str = "block_id", text_col: str = "text") -> D
 
 def degenerate(df: DataFrame, id_col: str = "block_id", text_col: str = "text") -> DataFrame:
     """Ids of the texts that are not retained and repeat at least MIN_SHARE of MIN_WORDS words or more."""
-    long_enough = df.where(F.length(text_col) >= MIN_WORDS)
-    return (
-        shares(long_enough, id_col, text_col)
-        .where((F.col("words") >= MIN_WORDS) & (F.col("content_share") < RETAIN) & (F.col("repeated_share") >= MIN_SHARE))
-        .select("id")
-        .distinct()
-    )
+    narrow = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where(F.col("id").isNotNull())
+    fitted = fit(narrow)
+    w, t = fitted.w, fitted.t
+    schema = pa.schema([("id", pa.int64())])
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        crf = Crf(w, t)
+        for b in it:
+            ids = [i for i, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if is_degenerate(x, crf)]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64())], schema=schema)
+
+    return narrow.where(F.length("text") >= MIN_WORDS).mapInArrow(batches, "id bigint").distinct()
