@@ -120,6 +120,13 @@ def p1_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.segments(papers, table(spark, sf_dir, "lang_samples", "lang", "text"))
 
 
+@LLM.add("p1_mixtures")
+def p1_mixtures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language proportions of every paper."""
+    papers = table(spark, sf_dir, "papers", *_PAPER_COLUMNS)
+    return languages.mixtures(papers, table(spark, sf_dir, "lang_samples", "lang", "text"))
+
+
 _SCAN_COLUMNS = ("block_id", "paper_id", "seq", "type", "text", "page_idx", "bbox")
 
 

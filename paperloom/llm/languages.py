@@ -2,19 +2,26 @@
 
 Each language has an interpolated character n-gram model, fitted on the labelled sample
 texts (at most ``FIT_ROWS`` rows a language). A document's segments (its title, its
-sentences) have a log-likelihood under every language; expectation-maximisation estimates
-the document's language proportions from them, weighted by their n-grams, and languages
-are dropped one by one as long as the penalised likelihood (``PENALTY`` times the log of
-the number of n-grams for each language) rises. A segment's language is the most probable
-one under the proportions, its confidence the tempered posterior.
-
-The models are small dictionaries bounded by the fit sample; judging documents is a narrow
-map with a bounded cache of word scores.
+sentences) have a tempered log-likelihood under every language (n-grams of one word depend
+on each other, ``TEMPER`` scales them to about independent evidence). Expectation-maximisation
+estimates the document's language proportions from them, weighted by their n-grams, and
+languages are dropped one by one as long as the penalised likelihood (``PENALTY`` times the
+log of the number of n-grams for each language, the Bayesian information criterion) rises.
+A segment's language is the most probable one of that set under the proportions; its
+confidence is the posterior under the proportions, smoothed by half a segment for every
+language, so that no language is impossible.
+
+Words of the corpus. The first models label all papers; the words of their confident
+segments are counted per language over the whole corpus with map-side combining, and those
+in at least ``KNOWN_SHARE`` of a language's papers join the second models, weighted by that
+share. A share bounds their number (a language has at most words-per-paper / KNOWN_SHARE of
+them) and works alike at every size. Judging documents is a narrow map with a bounded cache
+of word scores.
 
 Defined cases: null, empty and letterless texts have no segments; a document without
 segments gives no rows; of equally likely languages the smaller code wins; texts of any
 length are judged whole; of rows delivered again the latest counts, of equally late ones
-the greater by content.
+the greater by content; without usable samples nothing is judged.
 """
 
 from __future__ import annotations
@@ -28,15 +35,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.session import cut_lineage
+
 ORDER = 4
 FIT_ROWS = 2_000
-PENALTY = 1.0
-#: Scales a segment's log-likelihood per n-gram for the confidence.
+PENALTY = 0.5
+#: Scales log-likelihoods of n-grams, which are not independent.
 TEMPER = 0.35
 CACHE_WORDS = 200_000
 UNKNOWN_WEIGHT = 0.25
-#: Documents of the corpus, those of the least hashes, that the first models label for the second.
-SELF_ROWS, SELF_CONFIDENCE = 1_500, 0.95
+#: Share of a language's papers that hold a word of the second models, and the confidence of segments that count.
+KNOWN_SHARE, SELF_CONFIDENCE = 0.01, 0.95
 
 # Usual codes and names of languages.
 LANGUAGE_NAMES = {
@@ -78,26 +87,35 @@ class Model:
 
     ``samples``: (language, text) pairs. A word is known if at least two texts of a language
     hold it; words that no language knows are mostly names, which all languages share, and
-    count only ``UNKNOWN_WEIGHT``.
+    count only ``UNKNOWN_WEIGHT``. ``known``: further (language, word, weight), as if so many
+    texts held the word.
     """
 
-    def __init__(self, samples: list[tuple[str, str]]):
+    def __init__(self, samples: list[tuple[str, str]], known: list[tuple[str, str, int]] = ()):
         self.langs = sorted({lang for lang, _ in samples})
         self.counts: list[dict[str, int]] = [defaultdict(int) for _ in self.langs]
         self.after: list[dict[str, int]] = [defaultdict(int) for _ in self.langs]
         kinds: list[set] = [set() for _ in self.langs]
         self.words: list[Counter] = [Counter() for _ in self.langs]
+
+        def learn(k: int, w: str, times: int) -> None:
+            padded = "^" * (ORDER - 1) + w + "$"
+            for i in range(ORDER - 1, len(padded)):
+                for n in range(ORDER):
+                    gram = padded[i - n : i + 1]
+                    self.counts[k][gram] += times
+                    self.after[k][gram[:-1]] += times
+                    kinds[k].add(gram)
+
         for lang, text in samples:
             k = self.langs.index(lang)
             self.words[k].update(set(tokens(text)))
             for w in tokens(text):
-                padded = "^" * (ORDER - 1) + w + "$"
-                for i in range(ORDER - 1, len(padded)):
-                    for n in range(ORDER):
-                        gram = padded[i - n : i + 1]
-                        self.counts[k][gram] += 1
-                        self.after[k][gram[:-1]] += 1
-                        kinds[k].add(gram)
+                learn(k, w, 1)
+        for lang, w, weight in known:
+            k = self.langs.index(lang)
+            self.words[k][w] += weight
+            learn(k, w, weight)
         self.kinds: list[dict[str, int]] = [Counter(g[:-1] for g in s) for s in kinds]
         self.words = [Counter({w: n for w, n in c.items() if n >= 2}) for c in self.words]
         self.totals = [max(1, sum(c.values())) for c in self.words]
@@ -209,6 +227,8 @@ def mixture(likes: list[list[float]], sizes: list[float], n_langs: int, rounds:
     cost = PENALTY * math.log(max(2, sum(sizes)))
     # a language that is best for no segment cannot raise the likelihood of the set
     active = sorted({max(range(n_langs), key=lambda k: (s[k], -k)) for s in likes})
+    if len(active) == 1:
+        return [float(k == active[0]) for k in range(n_langs)], active
     pi, ll = em(active)
     while len(active) > 1:
         trials = [([k for k in active if k != gone],) for gone in active]
@@ -220,31 +240,47 @@ def mixture(likes: list[list[float]], sizes: list[float], n_langs: int, rounds:
     return pi, active
 
 
-def judge(title: str | None, abstract: str | None, model: Model) -> list[tuple[str, int, str, str, float]]:
-    """(field, number, text, language, confidence) of each segment."""
+def scored_segments(title: str | None, abstract: str | None, model: Model) -> list[tuple[str, int, str, list[float], float]]:
+    """(field, number, text, tempered log-likelihoods, tempered n-grams) of each segment with letters."""
     parts = [("title", 0, title)] if title and _WORD.search(title) else []
     parts += [("abstract", n, s) for n, s in enumerate(sentences(abstract))]
-    scored = [(f, n, t, *model.segment(t)) for f, n, t in parts]
-    scored = [x for x in scored if x[4]]
-    if not scored:
+    out = []
+    for f, n, t in parts:
+        s, m = model.segment(t)
+        if m:
+            out.append((f, n, t, [TEMPER * v for v in s], TEMPER * m))
+    return out
+
+
+def judge(title: str | None, abstract: str | None, model: Model) -> list[tuple[str, int, str, str, float]]:
+    """(field, number, text, language, confidence) of each segment."""
+    scored = scored_segments(title, abstract, model)
+    if not scored or not model.langs:
         return []
-    likes, sizes = [x[3] for x in scored], [x[4] for x in scored]
-    pi, active = mixture(likes, sizes, len(model.langs))
+    n_langs = len(model.langs)
+    pi, active = mixture([x[3] for x in scored], [x[4] for x in scored], n_langs)
+    n = len(scored)
+    prior = [math.log((n * p + 0.5) / (n + 0.5 * n_langs)) for p in pi]
     out = []
-    for f, n, t, s, m in scored:
-        logs = {k: math.log(max(pi[k], 1e-9)) + s[k] for k in active}
-        best = max(sorted(logs, key=lambda k: model.langs[k]), key=lambda k: logs[k])
-        flat = [TEMPER * (v - s[best]) for v in s]
-        out.append((f, n, t, model.langs[best], 1.0 / sum(math.exp(max(v, -700)) for v in flat)))
+    for f, k, t, s, _ in scored:
+        best = max(active, key=lambda i: (math.log(max(pi[i], 1e-9)) + s[i], -i))
+        logs = [q + v for q, v in zip(prior, s)]
+        top = max(logs)
+        out.append((f, k, t, model.langs[best], math.exp(logs[best] - top) / sum(math.exp(v - top) for v in logs)))
     return out
 
 
-def fit(samples: DataFrame, papers: DataFrame | None = None) -> Model:
-    """A model from at most FIT_ROWS labelled rows a language, those of the least hashes.
+def proportions(title: str | None, abstract: str | None, model: Model) -> list[tuple[str, float]]:
+    """(language, share) of a document's mixture, languages of the set only."""
+    scored = scored_segments(title, abstract, model)
+    if not scored or not model.langs:
+        return []
+    pi, active = mixture([x[3] for x in scored], [x[4] for x in scored], len(model.langs))
+    return [(model.langs[k], pi[k]) for k in active]
 
-    With ``papers``, the first model labels a bounded sample of them; its confident
-    segments then join the samples, so that the second model knows the corpus' words.
-    """
+
+def sample_rows(samples: DataFrame) -> list[tuple[str, str]]:
+    """At most FIT_ROWS labelled (language, text) a language, those of the least hashes."""
     named = samples.select(label_code_column(F.col("lang")).alias("lang"), "text").where(
         F.col("lang").isNotNull() & (F.length("text") > 0)
     )
@@ -253,17 +289,53 @@ def fit(samples: DataFrame, papers: DataFrame | None = None) -> Model:
     for lang in sorted(langs):  # a handful of languages, each a bounded read
         one = named.where(F.col("lang") == lang).orderBy(F.xxhash64("text"), "text").limit(FIT_ROWS)
         rows += [(r["lang"], r["text"]) for r in one.collect()]
+    return rows
+
+
+_COUNTS = pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
+
+
+def corpus_words(papers: DataFrame, model: Model) -> list[tuple[str, str, int]]:
+    """(language, word, per cent of the language's papers) of the words that stand in KNOWN_SHARE of them or more."""
+
+    def flush(counts: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.string()), pa.array(counts.values(), pa.int64())],
+            schema=_COUNTS,
+        )
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+        for b in it:
+            for title, abstract in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                by: dict[str, set[str]] = defaultdict(set)
+                for _, _, text, lang, confidence in judge(title, abstract, model):
+                    if confidence >= SELF_CONFIDENCE:
+                        by[lang].update(tokens(text))
+                for lang, words in by.items():
+                    counts[lang, ""] += 1  # the paper itself
+                    counts.update((lang, w) for w in words)
+            if len(counts) > 200_000:
+                yield flush(counts)
+                counts.clear()
+        yield flush(counts)
+
+    rows = papers.select("title", "abstract").mapInArrow(batches, "lang string, word string, n bigint")
+    counted = cut_lineage(rows.groupBy("lang", "word").agg(F.sum("n").alias("n")))
+    totals = counted.where("word = ''").select("lang", F.col("n").alias("total"))
+    known = counted.where("word <> ''").join(F.broadcast(totals), "lang")  # one row a language
+    often = known.where((F.col("n") >= 2) & (F.col("n") >= KNOWN_SHARE * F.col("total")))
+    kept = often.select("lang", "word", F.greatest(F.lit(1), F.round(100 * F.col("n") / F.col("total"))).cast("int").alias("w"))
+    return sorted((r["lang"], r["word"], r["w"]) for r in kept.collect())
+
+
+def fit(samples: DataFrame, papers: DataFrame | None = None) -> Model:
+    """A model from the samples and, with ``papers`` (one row each), the words that their confident segments share."""
+    rows = sample_rows(samples)
     model = Model(rows)
     if papers is None or not rows:
         return model
-    some = papers.select("paper_id", "title", "abstract").orderBy(F.xxhash64("paper_id"), "paper_id").limit(SELF_ROWS)
-    for r in some.collect():
-        by: dict[str, list[str]] = defaultdict(list)
-        for _, _, text, lang, confidence in judge(r["title"], r["abstract"], model):
-            if confidence >= SELF_CONFIDENCE:
-                by[lang].append(text)
-        rows += [(lang, " ".join(texts)) for lang, texts in sorted(by.items())]
-    return Model(rows)
+    return Model(rows, corpus_words(papers, model))
 
 
 def latest(papers: DataFrame) -> DataFrame:
@@ -285,25 +357,39 @@ _SEGMENTS = pa.schema(
 
 def segments(papers: DataFrame, samples: DataFrame) -> DataFrame:
     """Every segment of every paper with its language and confidence, beside the paper's label."""
-    model = fit(samples, papers)
+    rows = cut_lineage(latest(papers).select("paper_id", "title", "abstract", label_code_column(F.col("lang")).alias("label")))
+    model = fit(samples, rows)
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            rows = [
+            out = [
                 (p, label, *seg)
                 for p, title, abstract, label in zip(*(c.to_pylist() for c in b.columns))
                 for seg in judge(title, abstract, model)
             ]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * len(_SEGMENTS), _SEGMENTS)], schema=_SEGMENTS
+                [pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * len(_SEGMENTS), _SEGMENTS)], schema=_SEGMENTS
             )
 
-    rows = latest(papers).select("paper_id", "title", "abstract", label_code_column(F.col("lang")).alias("label"))
     return rows.mapInArrow(
         batches, "paper_id string, label string, field string, n int, text string, lang string, confidence double"
     )
 
 
+def mixtures(papers: DataFrame, samples: DataFrame) -> DataFrame:
+    """(paper_id, lang, share): the language proportions of every paper that has segments."""
+    rows = cut_lineage(latest(papers).select("paper_id", "title", "abstract"))
+    model = fit(samples, rows)
+    schema = pa.schema([("paper_id", pa.string()), ("lang", pa.string()), ("share", pa.float64())])
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            out = [(p, *x) for p, title, abstract in zip(*(c.to_pylist() for c in b.columns)) for x in proportions(title, abstract, model)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(schema)], schema=schema)
+
+    return rows.mapInArrow(batches, "paper_id string, lang string, share double")
+
+
 def unnamed(papers: DataFrame, samples: DataFrame) -> DataFrame:
     """(paper_id, lang): languages written in a paper that its label does not name."""
     return (

@@ -95,3 +95,24 @@ def test_blocks_of_items_give_the_same(spark, small, monkeypatch):
     one = {tuple(r) for r in leaks.leaked(docs, items).collect()}
     monkeypatch.setattr(leaks, "BLOCK_WORDS", 4000)
     assert {tuple(r) for r in leaks.leaked(docs, items).collect()} == one
+
+
+def test_the_mixture_decides_a_doubtful_segment(spark, medium):
+    model = languages.Model(languages.sample_rows(spark.read.parquet(f"{medium}/lang_samples.parquet")))
+    title, doc = "Estudio de helzayl a 581 °C", spark.read.parquet(f"{medium}/lang_samples.parquet").where("lang = 'es'").orderBy("sample_id").first().text
+    alone = languages.judge(title, None, model)
+    assert alone[0][3] == "pt"  # what the wording of the title alone says
+    assert languages.judge(title, doc, model)[0][3] == "es"
+    assert languages.judge(title, doc, model)[0][4] > 1 - alone[0][4]
+    assert languages.proportions(title, doc, model) == [("es", 1.0)]
+
+
+def test_words_of_the_corpus_count_whole_papers(spark, medium):
+    samples = spark.read.parquet(f"{medium}/lang_samples.parquet")
+    model = languages.Model(languages.sample_rows(samples))
+    text = samples.where("lang = 'de'").orderBy("sample_id").first().text
+    df = spark.createDataFrame([("t", text + " Zwirbelfunk.")] * 3 + [("t", text)] * 2 + [(None, None)], "title string, abstract string")
+    words = {(lang, w): n for lang, w, n in languages.corpus_words(df, model)}
+    assert words["de", "zwirbelfunk"] == 60 and all(n == 100 for (_, w), n in words.items() if w in languages.tokens(text))
+    rows = papers(spark, [("a", None, text, None, dt.datetime(2020, 1, 1))])
+    assert [tuple(r) for r in languages.mixtures(rows, samples).collect()] == [("a", "de", 1.0)]
