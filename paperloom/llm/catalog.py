@@ -99,7 +99,7 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @LLM.add("p7_entities")
 def p7_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every name string with the representative of its block."""
+    """Every name string with the smallest string of its entity and its number of links."""
     return names.entities(_name_strings(spark, sf_dir))
 
 

@@ -8,15 +8,19 @@
 3. Symmetric-delete index: each token is joined with the tokens that share one of its
    single deletions; pairs within one edit (also a swap of neighbours) remain, and a rare
    token takes its more frequent neighbour as canonical form.
-4. Block keys: canonical family token and first letter of the given name, a nickname
-   standing for its full name; a second key where the given name's own first letter is not
-   that of its canonical form; groups (collaborations) by their own token.
-5. Pairs of one block are aligned: tokens are assigned one to one so that equal, initial,
-   abbreviated or mistyped tokens meet at least cost; both strings denote one entity if
-   nothing is left in conflict.
-
-Strings, tokens and pairs are rows of DataFrames joined by key; nothing is collected. A
-block holds the spellings of one family name and initial; its pairs are the result itself.
+4. Blocks: all strings of one canonical family token, and the spellings of one group
+   (collaborations) by their own tokens. Strings of one block with the same given tokens
+   are one class; only classes are compared.
+5. Classes of one block are aligned: given tokens are assigned one to one at least total
+   cost (Hungarian method, lists of any length), where equal, initial, abbreviated,
+   mistyped and nickname forms meet and others conflict. Two classes are linked if their
+   first names fit and no token of the shorter list is left in conflict; two well attested
+   names that differ by one letter at the start stay apart.
+6. Entities: the connected classes, where a class that has only initials joins the one
+   person it can stand for, and stays by itself where it fits several.
+
+Strings, tokens, classes and pairs are rows of DataFrames joined by key, so that a family
+name of any size is split by adaptive execution; nothing is collected.
 
 Defined cases: null and blank names and "et al." are no names; equal strings are one;
 strings of one token are compared as whole tokens; very long strings are cut into tokens
@@ -28,10 +32,9 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
-from itertools import permutations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.session import cut_lineage
@@ -83,7 +86,8 @@ def parse(name: str) -> tuple[bool, list[str], list[str], str | None, list[str]]
         full, ini = [], []
         for m in re.finditer(r"([^\W\d_]+(?:['’-][^\W\d_]+)*)(\.?)", part):
             w = m.group(1)
-            if w.casefold() in PARTICLES:
+            last = not all_caps and w.isupper() and not re.search(r"[^\W\d_]", part[m.end() :])
+            if w.casefold() in PARTICLES and not (last and full):  # "Rossi LE" ends with initials, "DE ROSSI" begins with a particle
                 continue
             if len(w) == 1:
                 ini.append(fold(w))
@@ -142,27 +146,61 @@ def cost(a: str, b: str) -> float | None:
     return None
 
 
+_CONFLICT = 1e6
+
+
+def least_assignment(costs: list[list[float]]) -> float:
+    """Least total of assigning every row of ``costs`` to a column of its own (rows <= columns)."""
+    n, m = len(costs), len(costs[0]) if costs else 0
+    u, v, row_of, way = [0.0] * (n + 1), [0.0] * (m + 1), [0] * (m + 1), [0] * (m + 1)
+    for i in range(1, n + 1):
+        row_of[0], j0 = i, 0
+        least, used = [float("inf")] * (m + 1), [False] * (m + 1)
+        while row_of[j0]:
+            used[j0] = True
+            i0, delta, j1 = row_of[j0], float("inf"), 0
+            for j in range(1, m + 1):
+                if not used[j]:
+                    cur = costs[i0 - 1][j - 1] - u[i0] - v[j]
+                    if cur < least[j]:
+                        least[j], way[j] = cur, j0
+                    if least[j] < delta:
+                        delta, j1 = least[j], j
+            for j in range(m + 1):
+                if used[j]:
+                    u[row_of[j]] += delta
+                    v[j] -= delta
+                else:
+                    least[j] -= delta
+            j0 = j1
+        while j0:
+            row_of[j0] = row_of[way[j0]]
+            j0 = way[j0]
+    return sum(costs[row_of[j] - 1][j - 1] for j in range(1, m + 1) if row_of[j])
+
+
 def assign(a: list[str], b: list[str]) -> float | None:
     """Least cost of assigning the shorter list's tokens into the longer; None if any conflicts."""
     if len(a) > len(b):
         a, b = b, a
-    if len(b) > 6:  # long lists: in order
-        pairs = [cost(x, y) for x, y in zip(a, b)]
-        return None if None in pairs else sum(pairs)
-    best = None
-    for chosen in permutations(range(len(b)), len(a)):
-        pairs = [cost(x, b[k]) for x, k in zip(a, chosen)]
-        if None not in pairs:
-            total = sum(pairs) + 0.05 * sum(k != i for i, k in enumerate(chosen))
-            best = total if best is None or total < best else best
-    return best
+    if not a:
+        return 0.0
+    costs = [[_CONFLICT if (c := cost(x, y)) is None else c + 0.05 * (k != i) for k, y in enumerate(b)] for i, x in enumerate(a)]
+    total = least_assignment(costs)
+    return total if total < _CONFLICT else None
 
 
 def same(given_a: list[str], given_b: list[str]) -> bool:
-    """Given parts fit: the first names, and what else both name."""
-    if not given_a or not given_b:
-        return True
-    return cost(given_a[0], given_b[0]) is not None and assign(given_a, given_b) is not None
+    """Given parts fit: the first names, which begin alike, and what else both name; a bare family name fits its like only."""
+    if not given_a or not given_b or given_a == given_b:
+        return given_a == given_b
+    x, y = given_a[0], given_b[0]
+    return x[0] == y[0] and cost(x, y) is not None and assign(given_a, given_b) is not None
+
+
+def fits(given_a: list[str], own_a: list[str], given_b: list[str], own_b: list[str]) -> bool:
+    """Given parts fit in their canonical forms or as written."""
+    return any(same(x, y) for x in ((given_a, own_a) if own_a != given_a else (given_a,)) for y in ((given_b, own_b) if own_b != given_b else (given_b,)))
 
 
 def _arrow(df: DataFrame, f, schema: pa.Schema, ddl: str) -> DataFrame:
@@ -249,18 +287,18 @@ def canonical_tokens(counts: DataFrame) -> DataFrame:
     return counts.join(best, "token", "left").select("token", F.coalesce("b.t", "token").alias("canon"), "df", "g", "s")
 
 
-_BLOCK = pa.schema([("name", pa.string()), ("block", pa.string()), ("given", pa.list_(pa.string())), ("main", pa.bool_())])
+_BLOCK = pa.schema([("name", pa.string()), ("block", pa.string()), ("given", pa.list_(pa.string())), ("own", pa.list_(pa.string()))])
 
 
 def _block(name: str, grp: bool, full: list, ini: list, family: str | None, tokens: list) -> list[tuple]:
-    """Block keys of one string with its given tokens, canonical (main) and, under a letter of their own, as written."""
+    """Block of one string with its given tokens, canonical and as written."""
     info = {t["token"]: t for t in tokens or []}
     canon = lambda t: info[t]["canon"] if t in info else t
     full = list(dict.fromkeys(full or []))
     if grp:
-        return [(name, "#" + " ".join(sorted(canon(t) for t in full)), [], True)] if full else []
+        return [(name, "#" + " ".join(sorted(canon(t) for t in full)), [], [])] if full else []
     if not full:
-        return [(name, "." + "".join(ini or []), [], True)]
+        return [(name, "." + "".join(ini or []), [], [])]
     if family is None:
 
         def score(k: int) -> tuple:
@@ -272,14 +310,11 @@ def _block(name: str, grp: bool, full: list, ini: list, family: str | None, toke
         family = full[max(range(len(full)), key=score)]
     given = [NICKNAMES.get(t) or NICKNAMES.get(canon(t), canon(t)) for t in full if t != family] + list(ini or [])
     own = [NICKNAMES.get(t, t) for t in full if t != family] + list(ini or [])
-    out = [(name, f"{canon(family)} {given[0][0] if given else ''}", given, True)]
-    if own and own[0][0] != given[0][0]:
-        out.append((name, f"{canon(family)} {own[0][0]}", own, False))
-    return out
+    return [(name, canon(family), given, own)]
 
 
 def blocks(strings: DataFrame) -> DataFrame:
-    """(name, block, given, main) of every different string: one main row, and one under its own letter where that differs."""
+    """(name, block, given, own, cls) of every different string; ``cls`` numbers the given parts of a block."""
     names = cut_lineage(parsed(strings))
     canon = canonical_tokens(cut_lineage(token_counts(names)))
     # a mistyped token counts with the standing of its canonical form
@@ -291,31 +326,80 @@ def blocks(strings: DataFrame) -> DataFrame:
         .groupBy("name")
         .agg(F.collect_list("t").alias("tokens"))
     )
-    return _arrow(
+    found = _arrow(
         names.join(held, "name", "left").select("name", "grp", "full", "ini", "family", "tokens"),
         _block,
         _BLOCK,
-        "name string, block string, given array<string>, main boolean",
+        "name string, block string, given array<string>, own array<string>",
+    )
+    return found.withColumn("cls", F.xxhash64("block", "given", "own"))
+
+
+def class_links(members: DataFrame) -> DataFrame:
+    """(block, cls_a, cls_b, rank_a, rank_b): linked classes, both ways; rank 0 has a full given name, 1 initials, 2 none."""
+    one = members.groupBy("block", "cls").agg(F.first("given").alias("given"), F.first("own").alias("own"))
+    other = one.select("block", *[F.col(c).alias(f"{c}_b") for c in ("cls", "given", "own")])
+    facing = one.join(other, "block").where(F.col("cls") < F.col("cls_b"))
+
+    def align(block: str, a: int, ga: list, oa: list, b: int, gb: list, ob: list) -> list[tuple]:
+        if not fits(ga or [], oa or [], gb or [], ob or []):
+            return []
+        rank = lambda g: 2 if not g else int(len(g[0]) == 1)
+        return [(block, a, b, rank(ga), rank(gb)), (block, b, a, rank(gb), rank(ga))]
+
+    return _arrow(
+        facing.select("block", "cls", "given", "own", "cls_b", "given_b", "own_b"),
+        align,
+        pa.schema([("block", pa.string()), ("cls_a", pa.int64()), ("cls_b", pa.int64()), ("rank_a", pa.int32()), ("rank_b", pa.int32())]),
+        "block string, cls_a bigint, cls_b bigint, rank_a int, rank_b int",
     )
 
 
 def linked(strings: DataFrame) -> DataFrame:
     """(name_a, name_b): strings that denote one entity."""
-    b = cut_lineage(blocks(strings))
-    right = b.select(F.col("name").alias("name_b"), "block", F.col("given").alias("given_b"))
-    pairs = b.join(right, "block").where(F.col("name") < F.col("name_b"))
-    return _arrow(
-        pairs.select("name", "name_b", "given", "given_b"),
-        lambda a, n, ga, gb: [(a, n)] if same(ga or [], gb or []) else [],
-        pa.schema([("name_a", pa.string()), ("name_b", pa.string())]),
-        "name_a string, name_b string",
-    ).distinct()  # two strings may share both their keys
+    members = cut_lineage(blocks(strings))
+    own = members.select("block", F.col("cls").alias("cls_a"), F.col("name").alias("x"))
+    other = members.select("block", F.col("cls").alias("cls_b"), F.col("name").alias("y"))
+    links = class_links(members).where(F.col("cls_a") < F.col("cls_b"))
+    across = links.join(own, ["block", "cls_a"]).join(other, ["block", "cls_b"])
+    within = own.join(other.withColumnRenamed("cls_b", "cls_a"), ["block", "cls_a"]).where(F.col("x") < F.col("y"))
+    both = across.select("x", "y").unionByName(within.select("x", "y"))
+    return both.select(F.least("x", "y").alias("name_a"), F.greatest("x", "y").alias("name_b"))
 
 
 def entities(strings: DataFrame) -> DataFrame:
-    """(name, entity): each string with the smallest string of its block."""
-    b = blocks(strings).where("main")
-    return b.select("name", F.min("name").over(Window.partitionBy("block")).alias("entity"))
+    """(name, entity, links): each string with the smallest string of its entity and the number of strings linked to it.
+
+    Entities are the connected classes of full given names; a class of initials, or without
+    given name, belongs to the only entity that it is linked to, else to itself.
+    """
+    members = cut_lineage(blocks(strings))
+    links = cut_lineage(class_links(members))
+    sizes = members.groupBy("block", "cls").agg(F.count("*").alias("size"), F.min("name").alias("least"))
+    label = sizes.select("block", "cls", F.col("least").alias("label"))
+    for rank in (0, 1, 2):
+        # links inside the rank connect; those to lower ranks only where they lead to one entity
+        inner = links.where(f"rank_a = {rank} and rank_b = {rank}")
+        up = links.where(f"rank_a = {rank} and rank_b < {rank}") if rank else None
+        if up is not None:
+            goal = up.join(label.withColumnRenamed("cls", "cls_b"), ["block", "cls_b"]).groupBy("block", "cls_a").agg(
+                F.min("label").alias("one"), F.max("label").alias("last")
+            )
+            tied = goal.select("block", F.col("cls_a").alias("cls"), F.when(F.col("one") == F.col("last"), F.col("one")).alias("one"), F.lit(True).alias("led"))
+            label = cut_lineage(label.join(tied, ["block", "cls"], "left").withColumn("label", F.coalesce("one", "label")).select("block", "cls", "label", F.coalesce("led", F.lit(False)).alias("led")))
+            free = label.where("not led").select("block", F.col("cls").alias("cls_a"))
+            inner = inner.join(free, ["block", "cls_a"], "left_semi").join(free.withColumnRenamed("cls_a", "cls_b"), ["block", "cls_b"], "left_semi")
+            label = label.drop("led")
+        while True:
+            near = inner.join(label.withColumnRenamed("cls", "cls_b"), ["block", "cls_b"]).groupBy("block", F.col("cls_a").alias("cls")).agg(F.min("label").alias("near"))
+            step = label.join(near, ["block", "cls"], "left").select("block", "cls", F.least("label", F.coalesce("near", "label")).alias("next"), "label")
+            step = cut_lineage(step)
+            label = step.select("block", "cls", F.col("next").alias("label"))
+            if step.where("next <> label").isEmpty():
+                break
+    fellows = links.join(sizes.select("block", F.col("cls").alias("cls_b"), "size"), ["block", "cls_b"]).groupBy("block", F.col("cls_a").alias("cls")).agg(F.sum("size").alias("far"))
+    n = sizes.join(fellows, ["block", "cls"], "left").select("block", "cls", (F.col("size") - 1 + F.coalesce("far", F.lit(0))).alias("links"))
+    return members.join(label, ["block", "cls"]).join(n, ["block", "cls"]).select("name", F.col("label").alias("entity"), "links")
 
 
 def author_strings(refs: DataFrame, papers: DataFrame) -> DataFrame:
