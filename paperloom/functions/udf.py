@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from paperloom.session import ship_package
+
 
 def text_udf(rule: Callable[[str], object], returns: str = "string") -> Callable[[Column], Column]:
     """A vectorised column function of one string column; null stays null.
@@ -16,6 +18,9 @@ def text_udf(rule: Callable[[str], object], returns: str = "string") -> Callable
     """
 
     def on_column(col: Column) -> Column:
+        if (spark := SparkSession.getActiveSession()) is not None:
+            ship_package(spark)
+
         @F.pandas_udf(returns)
         def apply(values: pd.Series) -> pd.Series:
             return values.map(lambda v: None if v is None or v != v else rule(v))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.functions import text as T
+from paperloom.session import in_arrow
 
 _ROMAN_LEAD = r"^([IVX]+)\.\s+\S"
 _DOTTED_LEAD = r"^(\d+(?:\.\d+)*)\.?\s+\S"
@@ -165,7 +166,7 @@ def merge_fragments(rows: DataFrame, short: int = 200, long: int = 4000) -> Data
 
     pages = rows.where(F.col("kind") != "page_anchor").select("paper_id", "page_idx", "seq", "sub", "kind", "content")
     ordered = pages.repartition("paper_id", "page_idx").sortWithinPartitions("paper_id", "page_idx", "seq", "sub")
-    return ordered.mapInArrow(fold, "paper_id string, seq bigint, sub int, parts int, content string")
+    return ordered.transform(in_arrow, fold, "paper_id string, seq bigint, sub int, parts int, content string")
 
 
 def _merged_batch(rows: list[list]) -> pa.RecordBatch:

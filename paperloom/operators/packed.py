@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.functions.peg import ahead, apply, choice, end, many, maybe, seq, term, unless
+from paperloom.session import in_arrow
 
 # Names of keyword, subject-term and abbreviation lists.
 LIST_LABELS = (
@@ -211,7 +212,7 @@ def split_packed(df: DataFrame, id_col: str, text_col: str, grammar: str, prefil
 
     narrow = df.select(F.col(id_col).cast("bigint").alias("row_id"), F.col(text_col).alias("text"))
     keep = F.col("text").isNotNull() if prefilter is None else prefilter
-    return narrow.where(keep).mapInArrow(batches, "row_id bigint, pos int, value string, flag string")
+    return narrow.where(keep).transform(in_arrow, batches, "row_id bigint, pos int, value string, flag string")
 
 
 def labelled_lists(df: DataFrame, id_col: str = "block_id", text_col: str = "text") -> DataFrame:

@@ -33,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paperloom.session import in_arrow
+
 NODE_SCHEMA = (
     "id bigint, rec bigint, node int, parent int, label string, ordinal int, "
     "scalar string, path array<string>, anc array<int>"
@@ -160,7 +162,7 @@ def shred(
     narrow = df.select(
         F.col(id_col).cast("bigint").alias("id"), F.xxhash64(F.col(xml_col)).alias("rec"), F.col(xml_col).alias("xml")
     ).where(F.col("xml").isNotNull())
-    return narrow.mapInArrow(batches, NODE_SCHEMA)
+    return narrow.transform(in_arrow, batches, NODE_SCHEMA)
 
 
 @dataclass(frozen=True)

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.functions.mathml import convert
+from paperloom.session import in_arrow
 
 _KEPT = ("amp", "lt", "gt", "quot", "apos")
 _ENTITY = re.compile(r"&([a-zA-Z][a-zA-Z0-9]*);")
@@ -236,7 +237,7 @@ def _records(docs: DataFrame, id_col: str, xml_col: str, schema: pa.Schema, ddl:
             out = [r for i, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if (root := load(x)) is not None for r in rows(i, root)]
             yield pa.RecordBatch.from_arrays([pa.array([r.get(f.name) for r in out], f.type) for f in schema], schema=schema)
 
-    return docs.select(F.col(id_col).cast("bigint").alias("xml_id"), F.col(xml_col).alias("xml")).where(F.col("xml").isNotNull()).mapInArrow(batches, ddl)
+    return docs.select(F.col(id_col).cast("bigint").alias("xml_id"), F.col(xml_col).alias("xml")).where(F.col("xml").isNotNull()).transform(in_arrow, batches, ddl)
 
 
 def xml_blocks(docs: DataFrame, id_col: str = "xml_id", xml_col: str = "xml") -> DataFrame:

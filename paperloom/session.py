@@ -6,9 +6,13 @@ same code runs on ``local[8]`` and on a cluster.
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +26,7 @@ def get_spark(app: str = "paperloom", cpus: str | int = "*") -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("PAPERLOOM_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
@@ -51,6 +56,12 @@ def ship_package(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(str(archive))
 
 
+def in_arrow(df: DataFrame, f: Callable, ddl: str) -> DataFrame:
+    """``df.mapInArrow`` for functions of this package, which the workers get first; for ``DataFrame.transform``."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(f, ddl)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str | Column) -> DataFrame:
     """Read one table; naming the columns keeps the scan to those columns."""
     ship_package(spark)
@@ -61,20 +72,30 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str | Column) -
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that setting
-    is absent (tests on one machine) a temporary folder is set.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local session, whose workers
+    share the machine's disk, may go without: it gets a temporary folder that is removed at
+    the end. A cluster without the setting is an error.
     """
     sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
-    folder = named or tempfile.mkdtemp(prefix="paperloom-checkpoint-")
+    folder = sc.getConf().get("spark.checkpoint.dir", None)
+    if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir names no shared folder")
+        folder = tempfile.mkdtemp(prefix="paperloom-checkpoint-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     sc.setCheckpointDir(folder)
     return folder
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it from there."""
+    """Write ``df`` to the shared checkpoint folder and read it from there.
+
+    The files are removed when the returned frame is no longer used, where the session sets
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` (``get_spark`` does).
+    """
+    ship_package(df.sparkSession)
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
