@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.session import in_arrow
+
 #: Pre-tokens whose ids a worker keeps at most.
 CACHE_TOKENS = 400_000
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -132,7 +134,7 @@ def encode_corpus(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32) if flat else [], pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["id", "ids"])
 
-    return df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("x")).mapInArrow(batches, "id bigint, ids array<int>")
+    return df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("x")).transform(in_arrow, batches, "id bigint, ids array<int>")
 
 
 def decode_corpus(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path: str | None = None) -> DataFrame:
@@ -144,4 +146,4 @@ def decode_corpus(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", p
             texts = [None if x is None else decode(x, where) for x in (v.as_py() for v in batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["id", "text"])
 
-    return df.select(F.col(id_col).cast("bigint").alias("id"), F.col(ids_col).alias("x")).mapInArrow(batches, "id bigint, text string")
+    return df.select(F.col(id_col).cast("bigint").alias("id"), F.col(ids_col).alias("x")).transform(in_arrow, batches, "id bigint, text string")

@@ -140,3 +140,9 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p6_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every block's text repaired, with its type set right."""
     return scans.repaired(table(spark, sf_dir, "blocks", *_SCAN_COLUMNS))
+
+
+@LLM.add("p6_paragraphs")
+def p6_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Continuous paragraphs of every paper, also over page breaks."""
+    return scans.paragraphs(table(spark, sf_dir, "blocks", *_SCAN_COLUMNS, "text_level"))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.session import cut_lineage
+from paperloom.session import cut_lineage, in_arrow
 
 ORDER = 4
 FIT_ROWS = 2_000
@@ -320,7 +320,7 @@ def corpus_words(papers: DataFrame, model: Model) -> list[tuple[str, str, int]]:
                 counts.clear()
         yield flush(counts)
 
-    rows = papers.select("title", "abstract").mapInArrow(batches, "lang string, word string, n bigint")
+    rows = papers.select("title", "abstract").transform(in_arrow, batches, "lang string, word string, n bigint")
     counted = cut_lineage(rows.groupBy("lang", "word").agg(F.sum("n").alias("n")))
     totals = counted.where("word = ''").select("lang", F.col("n").alias("total"))
     known = counted.where("word <> ''").join(F.broadcast(totals), "lang")  # one row a language
@@ -371,8 +371,8 @@ def segments(papers: DataFrame, samples: DataFrame) -> DataFrame:
                 [pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * len(_SEGMENTS), _SEGMENTS)], schema=_SEGMENTS
             )
 
-    return rows.mapInArrow(
-        batches, "paper_id string, label string, field string, n int, text string, lang string, confidence double"
+    return rows.transform(
+        in_arrow, batches, "paper_id string, label string, field string, n int, text string, lang string, confidence double"
     )
 
 
@@ -387,7 +387,7 @@ def mixtures(papers: DataFrame, samples: DataFrame) -> DataFrame:
             out = [(p, *x) for p, title, abstract in zip(*(c.to_pylist() for c in b.columns)) for x in proportions(title, abstract, model)]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(schema)], schema=schema)
 
-    return rows.mapInArrow(batches, "paper_id string, lang string, share double")
+    return rows.transform(in_arrow, batches, "paper_id string, lang string, share double")
 
 
 def unnamed(papers: DataFrame, samples: DataFrame) -> DataFrame:

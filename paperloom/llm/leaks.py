@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.llm.lookalike import coarse
+from paperloom.session import in_arrow
 
 WINDOW = 8
 REPEATS = 3
@@ -198,7 +199,7 @@ def _block(docs: DataFrame, items: list[tuple[int, list[int]]]) -> DataFrame:
                 a = b
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], schema=_OUT)
 
-    return docs.mapInArrow(batches, "doc_id bigint, item_id bigint")
+    return docs.transform(in_arrow, batches, "doc_id bigint, item_id bigint")
 
 
 def leaked(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.session import cut_lineage
+from paperloom.session import cut_lineage, in_arrow
 
 # Element names of HTML that occur in text.
 HTML_TAGS = (
@@ -331,8 +331,8 @@ def presentation_nodes(blocks: DataFrame) -> DataFrame:
             )
 
     fields = fields_of(blocks).where(F.col("value").rlike(MAY_HOLD))
-    return fields.mapInArrow(
-        batches, "block_id bigint, host string, field string, node int, kind string, path string, style string, content bigint"
+    return fields.transform(
+        in_arrow, batches, "block_id bigint, host string, field string, node int, kind string, path string, style string, content bigint"
     )
 
 
@@ -387,7 +387,7 @@ def clean(blocks: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], names=["block_id", "field", "clean"])
 
     holds = F.col("value").rlike(MAY_HOLD)
-    parsed = fields.where(holds).select("block_id", "field", "value", "gone").mapInArrow(batches, "block_id bigint, field string, clean string")
+    parsed = fields.where(holds).select("block_id", "field", "value", "gone").transform(in_arrow, batches, "block_id bigint, field string, clean string")
     plain = fields_of(blocks).where(~holds).select("block_id", "field", tidy_blanks(F.col("value")).alias("clean"))
     return parsed.unionByName(plain)
 

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.session import cut_lineage
+from paperloom.session import cut_lineage, in_arrow
 
 # Usual short forms of given names.
 NICKNAMES = {
@@ -211,7 +211,7 @@ def _arrow(df: DataFrame, f, schema: pa.Schema, ddl: str) -> DataFrame:
                 [pa.array(c, x.type) for c, x in zip(zip(*rows) if rows else [[]] * len(schema), schema)], schema=schema
             )
 
-    return df.mapInArrow(batches, ddl)
+    return df.transform(in_arrow, batches, ddl)
 
 
 _PARSED = pa.schema(

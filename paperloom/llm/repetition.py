@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.session import in_arrow
+
 RUN = 4
 MIN_WORDS = 20
 MIN_SHARE = 0.4
@@ -240,7 +242,7 @@ def shares(df: DataFrame, id_col: str = "block_id", text_col: str = "text") -> D
                 [pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * len(_OUT), _OUT)], schema=_OUT
             )
 
-    return narrow.mapInArrow(batches, "id bigint, words int, content_share double, repeated_share double")
+    return narrow.transform(in_arrow, batches, "id bigint, words int, content_share double, repeated_share double")
 
 
 def degenerate(df: DataFrame, id_col: str = "block_id", text_col: str = "text") -> DataFrame:
@@ -256,4 +258,4 @@ def degenerate(df: DataFrame, id_col: str = "block_id", text_col: str = "text")
             ids = [i for i, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if is_degenerate(x, crf)]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64())], schema=schema)
 
-    return narrow.where(F.length("text") >= MIN_WORDS).mapInArrow(batches, "id bigint").distinct()
+    return narrow.where(F.length("text") >= MIN_WORDS).transform(in_arrow, batches, "id bigint").distinct()

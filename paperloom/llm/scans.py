@@ -1,21 +1,8 @@
-"""Scan noise: an averaged-perceptron character editor and page furniture.
+"""Scan noise: reading errors, split words and page furniture of blocks, and their repair.
 
-Editor. At every place of a token where a confusable spelling may stand, and at every mark
-of a broken line, the editor chooses between keep and an edit (replace, delete or insert
-within a confusion, join lines) by the sign of an averaged perceptron's score. Its features
-are the edit, the neighbouring characters and how well the corpus knows the token before and
-after the edit. It is trained here: words of the lexicon are spoilt and broken on purpose
-(``TRAIN_WORDS`` words) beside untouched words and compounds.
-
-Lexicon. Word counts are taken over all blocks with map-side combining; the editor's
-features see the ``LEXICON_WORDS`` most frequent words, a bound that limits what a worker
-holds and not which blocks are judged.
-
-Furniture. Running headers and footers of a paper are known from its typed blocks: their
-text without page number; the number of a page from the offset between printed number and
-page index that most of the paper's numbers share. Both are aggregates per paper, joined
-back by paper_id. A second perceptron weighs page position, form and these matches; it is
-trained on the typed blocks themselves (``TRAIN_BLOCKS`` of them).
+Words are decided by the perceptron editor of ``scan_words``, furniture by that of
+``scan_furniture``. Both decide beforehand what does not depend on a single block, so that
+judging the blocks is one join with the evidence of their page and one narrow map.
 
 Defined cases: null and empty texts give no row and repair to themselves; a block without
 paper_id or page has no furniture evidence; a paper without numbers accepts any bare page
@@ -24,510 +11,94 @@ number form; texts are read whole; blocks delivered twice are judged each for it
 
 from __future__ import annotations
 
-import random
 import re
-from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paperloom.session import cut_lineage
+from paperloom.llm import scan_furniture as SF
+from paperloom.llm import scan_words as SW
+from paperloom.session import cut_lineage, in_arrow
 
-LEXICON_WORDS = 400_000
-TRAIN_WORDS = 4_000
-TRAIN_BLOCKS = 6_000
 MIN_MISREAD = 2
-#: Two edits: the corpus knows the other word so many times better, or the token three times at most.
-UNKNOWN_RATIO = 64
-#: The most frequent word stands so many times as often as one that the corpus hardly knows.
-HARDLY = 1_000
-#: An example is learned until its score is so far on its own side.
-MARGIN = 1.0
-
-# What a scanner reads for what stands on the page.
-CONFUSIONS = (
-    ("c", "e"), ("1", "l"), ("1", "i"), ("0", "o"), ("5", "s"), ("9", "g"), ("ri", "n"), ("rn", "m"), ("ii", "u"),
-    ("cl", "d"), ("vv", "w"), ("d", "cl"), ("b", "h"), ("6", "b"), ("8", "b"), ("iii", "m"), ("li", "h"), ("l", "1"), ("o", "0"),
-)
-_MARKS = "-‐‑¬­"
-BREAK = re.compile(rf"([^\W\d_]+)([{_MARKS}])([ \t]*\r?\n[ \t]*|(?<=-) (?=\S))([^\W\d_]+)")
-#: A broken line begins with a mark before its end; cheaper to look for than the whole pattern.
-_BROKEN = re.compile(rf"[{_MARKS}][ \t]*\r?\n|[^\W\d_]- [^\W\d_]")
-_PART = re.compile(r"[^\W_]+")
-TOKEN = re.compile(r"[^\W_]+(?:[-‐][^\W_]+)*")
-_FUNCTION = frozenset("and or und oder bis et ou y e o a".split())
-
-
-class Perceptron:
-    """A binary averaged perceptron over sparse features."""
-
-    def __init__(self, weights: dict[str, float] | None = None):
-        self.w = dict(weights or {})
-
-    def score(self, features: list[str]) -> float:
-        get = self.w.get
-        return sum(get(f, 0.0) for f in features)
-
-    def fit(self, data: list[tuple[list[str], bool]], rounds: int = 6, seed: int = 7) -> Perceptron:
-        w: dict[str, float] = defaultdict(float)
-        total: dict[str, float] = defaultdict(float)
-        stamp: dict[str, int] = defaultdict(int)
-        order, rng, step = list(data), random.Random(seed), 0
-        for _ in range(rounds):
-            rng.shuffle(order)
-            for features, gold in order:
-                step += 1
-                got = sum(w[f] for f in features)
-                if got <= MARGIN if gold else got >= -MARGIN:
-                    for f in features:
-                        total[f] += (step - stamp[f]) * w[f]
-                        stamp[f] = step
-                        w[f] += 1.0 if gold else -1.0
-        for f in w:
-            total[f] += (step - stamp[f]) * w[f]
-        self.w = {f: v / max(1, step) for f, v in total.items() if v}
-        return self
-
-
-def _level(n: int) -> int:
-    return 0 if n <= 0 else min(12, n.bit_length())
-
-
-def edit_features(word: str, at: int, wrong: str, right: str, before: int, after: int) -> list[str]:
-    """Features of reading ``right`` for ``wrong`` at a position of a token.
-
-    ``before`` and ``after``: how often the corpus has the token as it is and as edited.
-    """
-    ratio = min(9, _level(int((after + 0.5) / (before + 0.5)))) if after else -1
-    op = "replace" if len(wrong) == len(right) else "delete" if len(wrong) > len(right) else "insert"
-    strange = wrong.isdigit() and (word[at - 1 : at].isalpha() or word[at + 1 : at + 2].isalpha())
-    return [
-        "bias", f"op={op}", f"c={wrong}>{right}", f"after={_level(after)}", f"ratio={ratio}", f"digit={strange}/{after > 0}",
-        f"left={word[max(0, at - 1) : at]}{wrong}", f"right={wrong}{word[at + len(wrong) : at + len(wrong) + 1]}", f"len={min(len(word), 6)}",
-    ]
-
-
-def candidates(word: str) -> Iterator[tuple[int, str, str]]:
-    for wrong, right in CONFUSIONS:
-        at = word.find(wrong)
-        while at >= 0:
-            yield at, wrong, right
-            at = word.find(wrong, at + 1)
-
-
-_KEY = str.maketrans(
-    {"e": "c", "1": "l", "i": "l", "0": "o", "5": "s", "9": "g", "d": "cl", "w": "vv", "n": "rl", "u": "ll", "m": "lll", "h": "ll", "b": "ll", "6": "ll", "8": "ll"}
-)
-
-
-def confusion_key(word: str) -> str:
-    """Equal for all spellings that confusions turn into each other, however many."""
-    key = word.translate(_KEY)
-    while "rrl" in key:  # rn and iii are both read for m
-        key = key.replace("rrl", "lll")
-    return key
-
-
-def two_edits(word: str, other: str) -> bool:
-    """Exactly two confusions, at places of their own, turn ``word`` into ``other``."""
-
-    def run(i: int, j: int, left: int) -> bool:
-        while True:
-            if left and any(word.startswith(a, i) and other.startswith(b, j) and run(i + len(a), j + len(b), left - 1) for a, b in CONFUSIONS):
-                return True
-            if i == len(word) or j == len(other):
-                return not left and i == len(word) and j == len(other)
-            if word[i] != other[j]:
-                return False
-            i, j = i + 1, j + 1
-
-    return run(0, 0, 2)
-
-
-def join_features(left: str, mark: str, gap: str, right: str, counts: dict[str, int]) -> list[str]:
-    """Features of joining the two halves of a broken line."""
-    l, r = left.lower(), right.lower()
-    whole, compound = counts.get(l + r, 0), counts.get(f"{l}-{r}", 0)
-    both = counts.get(l, 0) > 0 and counts.get(r, 0) > 0
-    return [
-        "bias", f"m={mark}", f"line={'n' in repr(gap)}", f"whole={min(whole, 2)}", f"compound={min(compound, 2)}",
-        f"wc={(whole > 0) - (compound > 0)}", f"both={both}/{whole > 0}", f"fn={r in _FUNCTION}", f"lower={right[:1].islower()}",
-        f"plain={mark == '-'}/{whole > 0}/{compound > 0}/{both}",
-    ]
-
-
-def train_editor(counts: dict[str, int]) -> tuple[Perceptron, Perceptron]:
-    """(misread editor, join editor) from the lexicon, spoilt and broken on purpose."""
-    rng = random.Random(11)
-    usable = sorted((w for w in counts if w.isalpha() and len(w) >= 4 and counts[w] >= 3), key=lambda w: (-counts[w], w))
-    words = usable[: TRAIN_WORDS // 2] + rng.sample(usable, min(len(usable), TRAIN_WORDS // 2))
-    compounds = sorted(w for w in counts if re.fullmatch(r"[^\W\d_]+[-‐][^\W\d_]+", w))[:TRAIN_WORDS]
-    misread, joins = [], []
-    spoil = [(r, w) for w, r in CONFUSIONS[:13]]
-    for w in words:
-        right, wrong = rng.choice(spoil)
-        at = w.find(right)
-        if at >= 0:
-            bad = w[:at] + wrong + w[at + len(right) :]
-            own = max(counts.get(bad, 0), rng.choice((0, 1, 1, 2, counts[w] // 300)))
-            if counts[w] > 8 * own:
-                misread.append((edit_features(bad, at, wrong, right, own, counts[w]), True))
-        for at, a, b in list(candidates(w))[:3]:
-            other = counts.get(w[:at] + b + w[at + len(a) :], 0)
-            if other <= counts[w]:
-                misread.append((edit_features(w, at, a, b, counts[w], other), False))
-        if len(w) >= 6:
-            k = rng.randrange(2, len(w) - 2)
-            joins.append((join_features(w[:k], rng.choice(_MARKS), rng.choice(("\n", "\r\n", " ")), w[k:], counts), True))
-    for c in compounds:
-        a, b = re.split(r"[-‐]", c)
-        joins.append((join_features(a, "-", rng.choice(("\n", " ")), b, counts), False))
-        joins.append((join_features(a, "-", " ", rng.choice(("and", "und", "et", "y", "e")), counts), False))
-    if not compounds:
-        joins += [(join_features("low", "-", "\n", "level", {"low": 9, "level": 9, "low-level": 9}), False)] * 20
-    return Perceptron().fit(misread), Perceptron().fit(joins)
-
-
-class Editor:
-    """The trained editor with its lexicon."""
-
-    def __init__(self, counts: dict[str, int], misread: Perceptron, joins: Perceptron):
-        self.counts, self.misread, self.joins = counts, misread, joins
-        self.cache: dict[str, str] = {}
-        self.good: set[str] = set()
-        self.most = max(counts.values(), default=0)
-        #: so often the corpus may hold a token that it hardly knows
-        self.hardly = max(20, self.most // HARDLY)
-        self.alike: dict[str, list[str]] = defaultdict(list)
-        for w, n in counts.items():
-            if n > 8:
-                self.alike[confusion_key(w)].append(w)
-
-    def word(self, word: str) -> str:
-        """The token as it stood on the page."""
-        w = word.lower()
-        hit = self.cache.get(w)
-        if hit is None:
-            hit = self._edit(w) if len(w) >= 3 and any(c.isalpha() for c in w) else w
-            if len(self.cache) > 200_000:
-                self.cache.clear()
-            self.cache[w] = hit
-        return hit
-
-    def _edit(self, w: str) -> str:
-        """The best edit with a positive score, or the best two of a token unknown to the corpus."""
-        own, get = self.counts.get(w, 0), self.counts.get
-        if 8 * own >= self.most:
-            return w  # no word is so much more frequent
-        best = (0, w)
-        for at, a, b in candidates(w):
-            fixed = w[:at] + b + w[at + len(a) :]
-            n = get(fixed, 0)
-            if n > max(2, 8 * own, best[0]) and self.misread.score(edit_features(w, at, a, b, own, n)) > 0:
-                best = (n, fixed)
-        if best[0]:
-            return best[1]
-        for fixed in self.alike.get(confusion_key(w), ()):
-            n = get(fixed, 0)
-            if fixed != w and (own <= 3 or n > UNKNOWN_RATIO * own) and (-n, fixed) < (-best[0], best[1]) and two_edits(w, fixed):
-                best = (n, fixed)
-        return best[1]
-
-    def misreads(self, text: str) -> int:
-        """Number of misread words of a text."""
-        if len(self.good) > 400_000:
-            self.good.clear()
-        good, n = self.good, 0
-        for w in _PART.findall(self.unbreak(text).lower()):
-            if w not in good:
-                # a digit inside a word that the corpus hardly knows is misread even if no known word comes out
-                if self.word(w) != w or (len(w) >= 4 and re.search(r"[^\W\d][0159][^\W\d]", w) and self.counts.get(w, 0) <= self.hardly):
-                    n += 1
-                else:
-                    good.add(w)
-        return n
-
-    def splits(self, text: str) -> bool:
-        """Some line end split a word and left its mark."""
-        return bool(_BROKEN.search(text)) and any(self._joins(m) for m in BREAK.finditer(text))
-
-    def _joins(self, m: re.Match) -> bool:
-        left, mark, gap, right = m.groups()
-        return right[:1].islower() and self.joins.score(join_features(left, mark, gap, right, self.counts)) > 0
-
-    def unbreak(self, text: str) -> str:
-        if not _BROKEN.search(text):
-            return text
-        return BREAK.sub(lambda m: m.group(1) + m.group(4) if self._joins(m) else m.group(0), text)
-
-    def repair(self, text: str) -> str:
-        """Continuous text: words joined over line ends, misread words corrected, lines unwrapped."""
-
-        def fix(m: re.Match) -> str:
-            word = m.group(0)
-            good = self.word(word)
-            if good == word.lower():
-                return word
-            return good.upper() if word.isupper() else good.capitalize() if word[:1].isupper() else good
-
-        out = re.sub(r"[^\W_]+", fix, self.unbreak(text))
-        return re.sub(r"(?<![.!?:\n])[ \t]*\r?\n(?=[^\W\d_A-Z])", " ", out).strip()
-
-
-def plain(text: str) -> str:
-    """Letters and digits only, case ignored: what two prints of a running line share."""
-    return re.sub(r"[\W_]+", "", text).casefold()
-
-
-_PAGE = re.compile(r"\s*(?:[-–—·•|]\s*)?(?:(?:p|pp|S|Page|Seite|Pág|Página|第)\.?\s*)?(\d{1,5})\s*(?:页)?(?:\s*[-–—·•|])?\s*", re.I)
-_LINE_NO = re.compile(r"^\s*\d{1,5}\s{2,}|\s{2,}\d{1,5}\s*$")
-MAX_RUNNING = 140
-
-
-def page_number(text: str | None) -> int | None:
-    m = _PAGE.fullmatch(text or "")
-    return int(m.group(1)) if m else None
-
-
-def sentences_in(text: str) -> int:
-    """Sentence ends that no abbreviation explains."""
-    return len(re.findall(r"(?:[^\W\d_A-Z][^\W_]{2,}|[\])\d])[.!?](?=\s+[^\W\d_a-z]|\s*$)|[。！？]", text))
-
-
-def is_prose(text: str) -> bool:
-    cjk = len(re.findall(r"[一-鿿]", text))
-    return sentences_in(text) >= 2 and (len(text) >= 90 or cjk >= 25)
-
-
-def running_line(text: str | None) -> str | None:
-    """The shared part of a typed header or footer, without its page number."""
-    t = (text or "").strip()
-    if not t or len(t) > MAX_RUNNING or is_prose(t) or page_number(t) is not None:
-        return None
-    line = plain(_LINE_NO.sub("", t))
-    return line if len(line) >= 8 and not line.isdigit() else None
-
-
-_STATS = pa.schema([("paper_id", pa.string()), ("bucket", pa.int32()), ("line", pa.string()), ("offset", pa.int64())])
-
-
-#: Pages that share their evidence of running lines, with the pages of the neighbouring buckets.
-PAGE_BUCKET = 64
-
-
-def _bucket() -> Column:
-    return F.floor(F.coalesce("page_idx", F.lit(0)) / PAGE_BUCKET).cast("int")
-
-
-def evidence_rows(blocks: DataFrame) -> DataFrame:
-    """(paper_id, bucket, line, offset): what short blocks say of running lines and page numbers."""
-
-    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in it:
-            rows = []
-            for p, bucket, kind, page, text in zip(*(c.to_pylist() for c in b.columns)):
-                if kind in ("header", "footer") and (line := running_line(text)):
-                    rows.append((p, bucket, line, None))
-                n = page_number(text)
-                if n is not None and page is not None and not re.match(r"\s*[(\[]", text):
-                    rows.append((p, bucket, None, n - page))
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(_STATS)], schema=_STATS)
-
-    short = blocks.where(F.col("paper_id").isNotNull() & (F.length("text") <= MAX_RUNNING))
-    return short.select("paper_id", _bucket().alias("bucket"), "type", "page_idx", "text").mapInArrow(
-        batches, "paper_id string, bucket int, line string, offset bigint"
-    )
-
-
-def paper_evidence(blocks: DataFrame) -> DataFrame:
-    """(paper_id, bucket, lines, offset): what a page's surroundings tell of furniture.
-
-    Running lines are gathered per bucket of pages, so that a volume of any length gives
-    each block the few lines of its surroundings; the page number offset is the one most
-    numbers of the paper share.
-    """
-    rows = evidence_rows(blocks)
-    near = rows.where(F.col("line").isNotNull()).select(
-        "paper_id", F.explode(F.array(F.col("bucket") - 1, F.col("bucket"), F.col("bucket") + 1)).alias("bucket"), "line"
-    )
-    lines = near.groupBy("paper_id", "bucket").agg(F.collect_set("line").alias("lines"))
-    counted = rows.where(F.col("offset").isNotNull()).groupBy("paper_id", "offset").agg(F.count("*").alias("n"))
-    best = counted.groupBy("paper_id").agg(F.max(F.struct("n", (-F.col("offset")).alias("o"))).alias("b"))
-    offsets = best.select("paper_id", (-F.col("b.o")).alias("offset"))
-    places = blocks.where(F.col("paper_id").isNotNull()).select("paper_id", _bucket().alias("bucket")).distinct()
-    return places.join(lines, ["paper_id", "bucket"], "left").join(offsets, "paper_id", "left")
-
-
-def lexicon(blocks: DataFrame) -> DataFrame:
-    """(word, n): words and compounds of all blocks with the number of blocks they occur in.
-
-    Each Arrow batch is counted in the worker, so that one row per different word of a
-    batch is shuffled.
-    """
-    broken = re.compile(rf"[^\W\d_]+[{_MARKS}]\s+[^\W\d_]+")
-
-    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-        for b in it:
-            for text in b.column(0).to_pylist():
-                low = text.lower()
-                words = set(_PART.findall(broken.sub(" ", low) if _BROKEN.search(low) else low))
-                if "-" in low or "‐" in low:
-                    words.update(w for w in TOKEN.findall(broken.sub(" ", low)) if "-" in w or "‐" in w)
-                counts.update(words)
-            if len(counts) > 200_000:
-                yield flush(counts)
-                counts.clear()
-        yield flush(counts)
-
-    def flush(counts: Counter) -> pa.RecordBatch:
-        kept = [(w, n) for w, n in counts.items() if len(w) >= 2 and not w.isdigit()]
-        return pa.RecordBatch.from_arrays([pa.array([w for w, _ in kept], pa.string()), pa.array([n for _, n in kept], pa.int64())], names=["word", "n"])
-
-    text = blocks.where(~F.coalesce(F.col("type"), F.lit("")).isin("equation", "page_number") & (F.length("text") > 0)).select("text")
-    return text.mapInArrow(batches, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def furniture_features(page: int | None, text: str, top: float | None, lines: list, offset: int | None, first: bool) -> list[str]:
-    """Features of a block being furniture: page position, form, matches with its paper."""
-    n = page_number(text)
-    y = -1 if top is None else top
-    shared = plain(_LINE_NO.sub("", text))
-    fits = n is not None and page is not None and offset is not None and n - page == offset
-    return [
-        "bias", f"top={y >= 0 and y < 120}", f"low={y > 850}", f"first={first}", f"short={len(text) <= MAX_RUNNING}",
-        f"line={shared in lines}", f"number={n is not None}", f"fits={fits}/{offset is None}", f"paren={text.lstrip()[:1] in '(['}",
-        f"prose={is_prose(text)}",
-    ]
-
-
-def train_furniture(rows: list) -> Perceptron:
-    """From typed blocks: headers, footers and page numbers that are no prose, against text.
-
-    Blocks typed as text that have the form of furniture are left out: whether their type
-    is right is what the perceptron shall tell.
-    """
-    data = []
-    for r in rows:
-        text = r["text"] or ""
-        if not text or r["type"] not in ("header", "footer", "page_number", "text"):
-            continue
-        own = r["lines"] or []
-        gold = r["type"] != "text" and not is_prose(text)
-        formed = page_number(text) is not None or plain(_LINE_NO.sub("", text)) in own
-        if gold or not formed:
-            data.append((furniture_features(r["page_idx"], text, r["top"], own, r["offset"], r["seq"] in (0, 1)), gold))
-    return Perceptron().fit(data) if data else Perceptron({"number=True": 1.0, "line=True": 1.0, "prose=True": -1.0})
-
-
-def judge(kind: str, page: int | None, text: str, top: float | None, lines: list, offset: int | None, first: bool, editor: Editor, furniture: Perceptron) -> list[str]:
-    """The kinds of noise of one block."""
-    out = []
-    if editor.splits(text):
-        out.append("hyphen")
-    if kind != "equation" and (kind != "page_number" or is_prose(text)) and editor.misreads(text) >= MIN_MISREAD:
-        out.append("chars")
-    return out + furniture_kinds(kind, page, text, top, lines, offset, first, furniture)
-
-
-def furniture_kinds(kind: str, page: int | None, text: str, top: float | None, lines: list, offset: int | None, first: bool, furniture: Perceptron) -> list[str]:
-    """What a block is or holds of page furniture, and prose typed as such: for the report and the repair alike."""
-    out = []
-    if kind in ("header", "footer", "page_number"):
-        if is_prose(text):
-            out.append("body")
-        if kind != "page_number":
-            return out
-    n = page_number(text) if len(text) <= MAX_RUNNING else None
-    alone = n is not None or (bool(lines) and len(text) <= MAX_RUNNING + 20 and plain(_LINE_NO.sub("", text)) in lines)
-    if alone and furniture.score(furniture_features(page, text, top, lines, offset, first)) <= 0:
-        return out  # has the form of furniture and yet is none
-    if kind != "page_number" and n is not None and text.lstrip()[:1] not in "([":
-        if offset is None or page is None or n - page == offset:
-            out.append("page_no")
-    if _holds_running(kind, text, lines):
-        out.append("running")
-    return out
-
 
-def _holds_running(kind: str, text: str, lines: list) -> bool:
-    return any(True for _ in _running(kind, text, lines))
-
-
-def _running(kind: str, text: str, lines: list) -> Iterator[tuple[str, bool]]:
-    """The running lines that a block holds, and whether it holds nothing else."""
-    if not lines:
-        return
-    p = plain(text)
-    for line in lines:
-        if line in p:
-            whole = len(p) <= len(line) + 6
-            if whole or kind not in ("ref_text", "list", "page_footnote") or not _cited(text, line):
-                yield line, whole
-
-
-def _cited(text: str, line: str) -> bool:
-    """The line stands in a citation: after a comma, as a venue does."""
-    loose = r"[\W_]*".join(map(re.escape, line[:24]))
-    m = re.search(loose, text, re.I)
-    return bool(m and re.search(r",\s*$", text[: m.start()]))
-
-
-_FOUND = pa.schema([("block_id", pa.int64()), ("kind", pa.string())])
-
-
-def _prepared(blocks: DataFrame):
-    words = lexicon(blocks)
-    top = words.orderBy(F.desc("n"), "word").limit(LEXICON_WORDS).toArrow()
-    counts = dict(zip(top.column("word").to_pylist(), top.column("n").to_pylist()))
-    misread, joins = train_editor(counts)
-    return blocks.sparkSession.sparkContext.broadcast((counts, misread.w, joins.w))
-
-
-_INPUT = ("block_id", "type", "page_idx", "text", "top", "lines", "offset", "seq")
+_INPUT = ("block_id", "type", "page_idx", "text", "top", "lines", "offset", "seq", "fixes", "joins")
 
 
 def _narrow(blocks: DataFrame) -> DataFrame:
     kept = blocks.where(F.col("block_id").isNotNull() & (F.length("text") > 0))
     top = F.when(F.size("bbox") == 4, F.get("bbox", F.lit(1)))
-    return kept.select(F.col("block_id").cast("bigint"), "paper_id", _bucket().alias("bucket"), "seq", "type", "text", "page_idx", top.alias("top"))
+    return kept.select(F.col("block_id").cast("bigint"), "paper_id", SF.bucket().alias("bucket"), "seq", "type", "text", "page_idx", top.alias("top"))
 
 
-def _with_evidence(rows: DataFrame, evidence: DataFrame) -> DataFrame:
-    """The texts meet their evidence in one join; they are shuffled once."""
-    return rows.join(evidence, ["paper_id", "bucket"], "left").select(*_INPUT)
+def train_furniture(rows: list) -> SW.Perceptron:
+    return SF.train(rows)
 
 
 def _furniture(blocks: DataFrame, evidence: DataFrame) -> dict[str, float]:
     """Weights of the furniture perceptron from the blocks of the least hashes."""
-    sample = _narrow(blocks).orderBy(F.xxhash64("block_id"), "block_id").limit(TRAIN_BLOCKS)
-    rows = sorted(_with_evidence(sample, evidence).collect(), key=lambda r: r["block_id"])
-    return train_furniture(rows).w
+    sample = _narrow(blocks).orderBy(F.xxhash64("block_id"), "block_id").limit(SF.TRAIN_BLOCKS)
+    rows = sample.join(evidence, ["paper_id", "bucket"], "left").collect()
+    return train_furniture(sorted(rows, key=lambda r: r["block_id"])).w
 
 
-def found(blocks: DataFrame) -> DataFrame:
-    """(block_id, kind): the kinds of scan noise of every block."""
-    shared = _prepared(blocks)
-    evidence = cut_lineage(paper_evidence(blocks))
-    rows, weights = _with_evidence(_narrow(blocks), evidence), _furniture(blocks, evidence)
-    state: list[Editor] = []
+def judge(kind: str, page, text: str, top, lines: list, offset, first: bool, reader: SW.Reader, furniture: SW.Perceptron) -> list[str]:
+    """The kinds of noise of one block."""
+    out = []
+    if reader.splits(text):
+        out.append("hyphen")
+    if kind != "equation" and (kind != "page_number" or SF.is_prose(text)) and reader.misreads(text) >= MIN_MISREAD:
+        out.append("chars")
+    return out + SF.furniture_kinds(kind, page, text, top, lines, offset, first, furniture)
+
+
+def mend(kind: str, page, text: str, top, lines: list, offset, first: bool, reader: SW.Reader, furniture: SW.Perceptron) -> tuple[str, str]:
+    """(type, text) of one block, repaired by the kinds that ``judge`` reports."""
+    kinds = SF.furniture_kinds(kind, page, text, top, lines, offset, first, furniture)
+    if kind in SF.FURNITURE:
+        if "body" not in kinds:
+            return kind, ""
+        kind = "text"
+    if "page_no" in kinds:
+        return "page_number", ""
+    if "running" in kinds:
+        held = sorted(SF.lines_held(kind, text, top, lines, first, furniture), reverse=True)
+        if any(whole for _, _, whole in held):
+            return "header", ""
+        for start, end, _ in held:
+            head = re.sub(r"\s*(?:\b\d{1,5}\s{2,})?[(\[]?$", "", text[:start])
+            tail = re.sub(r"^[^\w\s]{0,2}(?:\s{2,}\d{1,5}\b)?\s*", "", text[end:])
+            text = f"{head} {tail}"
+    return kind, reader.repair(text) if kind != "equation" else text
+
+
+def _judged(blocks: DataFrame, schema: pa.Schema, ddl: str, f: Callable) -> DataFrame:
+    """Rows that ``f`` gives for each block, with its evidence and the decisions on its words."""
+    evidence = cut_lineage(SF.paper_evidence(blocks, SF.evidence_rows(blocks)))
+    rows, shared = SW.with_decisions(blocks, _narrow(blocks))
+    rows = rows.join(evidence, ["paper_id", "bucket"], "left").select(*_INPUT)
+    weights = _furniture(blocks, evidence)
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not state:
-            counts, misread, joins = shared.value
-            state.append(Editor(counts, Perceptron(misread), Perceptron(joins)))
-        furniture = Perceptron(weights)
+        furniture = SW.Perceptron(weights)
+        common = SW.reader_of(shared.value, None, None) if shared is not None else None
         for b in it:
             out = [
-                (i, k)
-                for i, kind, page, text, top, lines, offset, seq in zip(*(c.to_pylist() for c in b.columns))
-                for k in judge(kind or "", page, text, top, lines or [], offset, seq in (0, 1), state[0], furniture)
+                (i, *row)
+                for i, kind, page, text, top, lines, offset, seq, fixes, joins in zip(*(c.to_pylist() for c in b.columns))
+                for row in f(kind or "", page, text, top, lines or [], offset, seq in (0, 1), common or SW.reader_of(None, fixes, joins), furniture)
             ]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(_FOUND)], schema=_FOUND)
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], x.type) for k, x in enumerate(schema)], schema=schema)
 
-    return rows.mapInArrow(batches, "block_id bigint, kind string").distinct()
+    return rows.transform(in_arrow, batches, ddl)
+
+
+def found(blocks: DataFrame) -> DataFrame:
+    """(block_id, kind): the kinds of scan noise of every block."""
+    schema = pa.schema([("block_id", pa.int64()), ("kind", pa.string())])
+    return _judged(blocks, schema, "block_id bigint, kind string", lambda *a: [(k,) for k in judge(*a)]).distinct()
 
 
 def repaired(blocks: DataFrame) -> DataFrame:
@@ -535,39 +106,39 @@ def repaired(blocks: DataFrame) -> DataFrame:
 
     A block that is furniture keeps an empty text; prose typed as furniture becomes text.
     """
-    shared = _prepared(blocks)
-    evidence = cut_lineage(paper_evidence(blocks))
-    rows, weights = _with_evidence(_narrow(blocks), evidence), _furniture(blocks, evidence)
     schema = pa.schema([("block_id", pa.int64()), ("type", pa.string()), ("clean", pa.string())])
-    state: list[Editor] = []
-
-    def one(kind: str, page, text: str, top, lines: list, offset, first: bool, furniture: Perceptron) -> tuple[str, str]:
-        kinds = furniture_kinds(kind, page, text, top, lines, offset, first, furniture)
-        if kind in ("header", "footer", "page_number"):
-            if "body" not in kinds:
-                return kind, ""
-            kind = "text"
-        if "page_no" in kinds:
-            return "page_number", ""
-        if "running" in kinds:
-            held = list(_running(kind, text, lines))
-            if any(whole for _, whole in held):
-                return "header", ""
-            for line, _ in held:
-                loose = r"[\W_]*?".join(map(re.escape, line))
-                text = re.sub(rf"\s*(?:\b\d{{1,5}}\s{{2,}})?{loose}\)?(?:\s{{2,}}\d{{1,5}})?\s*", " ", text, flags=re.I)
-        return kind, state[0].repair(text) if kind != "equation" else text
+    return _judged(blocks, schema, "block_id bigint, type string, clean string", lambda *a: [mend(*a)])
 
-    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not state:
-            counts, misread, joins = shared.value
-            state.append(Editor(counts, Perceptron(misread), Perceptron(joins)))
-        furniture = Perceptron(weights)
-        for b in it:
-            out = [
-                (i, *one(kind or "", page, text, top, lines or [], offset, seq in (0, 1), furniture))
-                for i, kind, page, text, top, lines, offset, seq in zip(*(c.to_pylist() for c in b.columns))
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(schema)], schema=schema)
 
-    return rows.mapInArrow(batches, "block_id bigint, type string, clean string")
+#: Places of a paper that are numbered together; windows never hold more rows.
+SEQ_BUCKET = 1_000
+
+
+def paragraphs(blocks: DataFrame) -> DataFrame:
+    """(paper_id, block_id, parts, text): continuous paragraphs of each paper, also over page breaks.
+
+    A repaired text block goes on with the next one, whatever furniture stands between, where
+    it has no end of a sentence and the next begins with a small letter. Of rows delivered
+    twice the first block counts. Order inside a paper is found in buckets of SEQ_BUCKET
+    places, whose borders meet in a window over one row a bucket, so that a paper of any size
+    is spread.
+    """
+    place = blocks.where(F.col("block_id").isNotNull() & F.col("paper_id").isNotNull()).select(F.col("block_id").cast("bigint"), "paper_id", "seq", "page_idx", F.coalesce("text_level", F.lit(0)).alias("level"))
+    body = repaired(blocks).where((F.col("type") == "text") & (F.col("clean") != ""))
+    rows = place.join(body, "block_id").groupBy("paper_id", "seq").agg(F.min(F.struct("block_id", "level", "clean")).alias("r")).select("paper_id", "seq", "r.*")
+    rows = rows.withColumn("bucket", F.floor(F.col("seq") / SEQ_BUCKET))
+    rows = rows.withColumn("open", (F.col("level") == 0) & ~F.rtrim("clean").rlike(r"[.!?。！？:：;；][\"”’')\]]*$")).withColumn("small", (F.col("level") == 0) & F.col("clean").rlike(r"^\p{Ll}"))
+    rows = cut_lineage(rows)
+    inside = Window.partitionBy("paper_id", "bucket").orderBy("seq")
+    last = rows.groupBy("paper_id", "bucket").agg(F.max(F.struct("seq", "open")).alias("last"))
+    over = Window.partitionBy("paper_id").orderBy("bucket")
+    borders = last.select("paper_id", "bucket", F.lag("last.open").over(over).alias("open_before"))
+    before = F.coalesce(F.lag("open").over(inside), F.when(F.row_number().over(inside) == 1, F.col("open_before")), F.lit(False))
+    starts = rows.join(borders, ["paper_id", "bucket"]).withColumn("starts", (~(before & F.col("small"))).cast("bigint"))
+    counted = starts.withColumn("k", F.sum("starts").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    totals = starts.groupBy("paper_id", "bucket").agg(F.sum("starts").alias("own"))
+    totals = totals.select("paper_id", "bucket", F.coalesce(F.sum("own").over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    numbered = counted.join(totals, ["paper_id", "bucket"]).withColumn("para", F.col("base") + F.col("k"))
+    parts = F.sort_array(F.collect_list(F.struct("seq", "block_id", "clean")))
+    joined = numbered.groupBy("paper_id", "para").agg(parts.alias("p"))
+    return joined.select("paper_id", F.get("p", F.lit(0))["block_id"].alias("block_id"), F.size("p").alias("parts"), F.array_join(F.transform("p", lambda x: x["clean"]), " ").alias("text"))

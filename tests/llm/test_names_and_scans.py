@@ -1,7 +1,7 @@
 import itertools
 
 import pytest
-from paperloom.llm import names, scans
+from paperloom.llm import names, scan_furniture, scan_words, scans
 
 
 def linked(spark, strings):
@@ -95,10 +95,10 @@ def test_scan_noise_on_a_small_paper(spark):
 
 def test_perceptron_learns_and_averages():
     data = [(["bias", f"x={i % 2}"], i % 2 == 0) for i in range(40)]
-    p = scans.Perceptron().fit(data)
+    p = scan_words.Perceptron().fit(data)
     assert all((p.score(f) > 0) == gold for f, gold in data)
 
 
 @pytest.mark.parametrize(("text", "want"), [("p. 365", 365), ("\u00b7 486 \u00b7", 486), ("797 |", 797), ("- 12 -", 12), ("Page 7", 7), ("(8)", None), ("12 kg", None), (None, None), ("", None)])
 def test_page_numbers(text, want):
-    assert scans.page_number(text) == want
+    assert scan_furniture.page_number(text) == want
