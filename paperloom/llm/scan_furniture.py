@@ -3,8 +3,8 @@
 Evidence. Running headers and footers of a paper are known from its typed blocks: their text
 without page number; the number of a page from the offset between printed number and page
 index that most of the paper's numbers share. Running lines are gathered per bucket of
-``PAGE_BUCKET`` pages and hold for the neighbouring buckets; lines that stand in several
-buckets hold for the whole paper. Both are aggregates, joined back by paper and bucket.
+``PAGE_BUCKET`` pages and hold for the neighbouring buckets; lines that stand in more than
+two buckets hold for the whole paper. Both are aggregates, joined back by paper and bucket.
 
 Decision. An averaged perceptron weighs page position, form, the kind of block and the
 matches with the evidence. It scores every candidate: a block that is a bare number, a
@@ -116,7 +116,7 @@ def paper_evidence(blocks: DataFrame, rows: DataFrame) -> DataFrame:
     lines = rows.where(F.col("line").isNotNull()).groupBy("paper_id", "line").agg(F.collect_set("bucket").alias("at"))
     seen = blocks.where(F.col("paper_id").isNotNull()).select("paper_id", bucket().alias("bucket")).distinct()
     near = lines.select("paper_id", "line", F.explode(F.array_distinct(F.flatten(F.transform("at", lambda k: F.array(k - 1, k, k + 1))))).alias("bucket"))
-    wide = lines.where(F.size("at") > 1).select("paper_id", "line").join(seen, "paper_id").select("paper_id", "line", "bucket")
+    wide = lines.where(F.size("at") > 2).select("paper_id", "line").join(seen, "paper_id").select("paper_id", "line", "bucket")
     own = near.unionByName(wide).groupBy("paper_id", "bucket").agg(F.sort_array(F.collect_set("line")).alias("lines"))
     counted = rows.where(F.col("offset").isNotNull()).groupBy("paper_id", "offset").agg(F.count("*").alias("n"))
     best = counted.groupBy("paper_id").agg(F.max(F.struct("n", (-F.col("offset")).alias("o"))).alias("b"))
@@ -151,11 +151,11 @@ def typed_features(kind: str, text: str, lines: list, top: float | None, first:
     return ["typed", f"sentences={min(n, 2)}/{long}", f"known={shared}", f"kind={kind}/{min(n, 2)}", f"bare={page_number(text) is not None}"]
 
 
-def running(kind: str, text: str, lines: list) -> Iterator[tuple[int, int, bool, str]]:
-    """(start, end, whole, sign before) of the running lines that a block holds."""
+def running(text: str, lines: list, p: str | None = None) -> Iterator[tuple[int, int, bool, str]]:
+    """(start, end, whole, sign before) of the running lines that a block holds; ``p``: its plain form if known."""
     if not lines:
         return
-    p = plain(text)
+    p = plain(text) if p is None else p
     held = [line for line in lines if line in p]
     if not held:
         return
@@ -203,7 +203,7 @@ def train(rows: list) -> Perceptron:
     return Perceptron().fit(data)
 
 
-def furniture_kinds(kind: str, page: int | None, text: str, top: float | None, lines: list, offset: int | None, first: bool, furniture: Perceptron) -> list[str]:
+def furniture_kinds(kind: str, page: int | None, text: str, top: float | None, lines: list, offset: int | None, first: bool, furniture: Perceptron, p: str | None = None) -> list[str]:
     """What a block is or holds of page furniture, and prose typed as such: for the report and the repair alike."""
     out = []
     if kind in FURNITURE:
@@ -213,13 +213,13 @@ def furniture_kinds(kind: str, page: int | None, text: str, top: float | None, l
             return out
     elif page_number(text) is not None and furniture.score(number_features(kind, page, text, top, offset, first)) > 0:
         out.append("page_no")
-    if next(lines_held(kind, text, top, lines, first, furniture), None):
+    if next(lines_held(kind, text, top, lines, first, furniture, p), None):
         out.append("running")
     return out
 
 
-def lines_held(kind: str, text: str, top: float | None, lines: list, first: bool, furniture: Perceptron) -> Iterator[tuple[int, int, bool]]:
+def lines_held(kind: str, text: str, top: float | None, lines: list, first: bool, furniture: Perceptron, p: str | None = None) -> Iterator[tuple[int, int, bool]]:
     """(start, end, whole) of the running lines that are furniture."""
-    for start, end, whole, before in running(kind, text, lines):
+    for start, end, whole, before in running(text, lines, p):
         if furniture.score(line_features(kind, text, whole, before, top, first)) > 0:
             yield start, end, whole

@@ -58,9 +58,22 @@ BREAK = re.compile(rf"([^\W\d_]+)([{MARKS}])([ \t]*\r?\n[ \t]*|(?<=-) (?=\S))([^
 #: A broken line begins with a mark before its end; cheaper to look for than the whole pattern.
 BROKEN = re.compile(rf"[{MARKS}][ \t]*\r?\n|[^\W\d_]- [^\W\d_]")
 PART = re.compile(r"[^\W_]+")
+_WORD = re.compile(r"\w+")
 TOKEN = re.compile(r"[^\W_]+(?:[-‐][^\W_]+)*")
 COMPOUND = re.compile(r"[^\W\d_]+[-‐][^\W\d_]+")
 _INNER_DIGIT = re.compile(r"[^\W\d][0159]+[^\W\d]")
+
+
+def has_break(text: str) -> bool:
+    """The text may hold a broken line; the plain tests spare most texts the pattern."""
+    return ("\n" in text or "- " in text) and bool(BROKEN.search(text))
+
+
+def words_of(low: str) -> list[str]:
+    """The runs of letters and digits of a text in small letters, as PART finds them."""
+    return _WORD.findall(low.replace("_", " ") if "_" in low else low)
+
+
 _FUNCTION = frozenset("and or und oder bis et ou y e o a".split())
 
 
@@ -267,7 +280,7 @@ def lexicon(blocks: DataFrame) -> DataFrame:
         for b in it:
             for text in b.column(0).to_pylist():
                 low = text.lower()
-                words = set(PART.findall(broken.sub(" ", low) if BROKEN.search(low) else low))
+                words = set(words_of(broken.sub(" ", low) if has_break(low) else low))
                 if "-" in low or "‐" in low:
                     words.update(w.replace("‐", "-") for w in TOKEN.findall(broken.sub(" ", low)) if "-" in w or "‐" in w)
                 counts.update(words)
@@ -303,7 +316,7 @@ def broken_places(blocks: DataFrame) -> DataFrame:
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            seen = {place_of(m) for text in b.column(0).to_pylist() if BROKEN.search(text) for m in BREAK.finditer(text)}
+            seen = {place_of(m) for text in b.column(0).to_pylist() if has_break(text) for m in BREAK.finditer(text)}
             yield _batch([(l, mark, gap, r.lower()) for l, mark, gap, r in sorted(seen) if r], _PLACE)
 
     marked = blocks.where(F.col("text").rlike(rf"[{MARKS}]\s"))
@@ -403,17 +416,20 @@ class Reader:
 
     def splits(self, text: str) -> bool:
         """Some line end split a word and left its mark."""
-        return bool(BROKEN.search(text)) and any(self._joined(m) for m in BREAK.finditer(text))
+        return has_break(text) and any(self._joined(m) for m in BREAK.finditer(text))
 
     def unbreak(self, text: str) -> str:
-        if not BROKEN.search(text):
+        if not has_break(text):
             return text
         return BREAK.sub(lambda m: m.group(1) + m.group(4) if self._joined(m) else m.group(0), text)
 
     def misreads(self, text: str) -> int:
         """Number of misread words of a text."""
+        return self.misread_among(words_of(self.unbreak(text).lower()))
+
+    def misread_among(self, words: list[str]) -> int:
         fixes = self.fixes
-        return sum(w in fixes for w in PART.findall(self.unbreak(text).lower()))
+        return sum([w in fixes for w in words])
 
     def repair(self, text: str) -> str:
         """Continuous text: words joined over line ends, misread words corrected, lines unwrapped."""
@@ -439,22 +455,18 @@ def decisions(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
     return cut_lineage(misread_words(tokens, lex, misread, most)), joined
 
 
-_OWN = "fixes map<string,string>, joins array<struct<l:string,mark:string,gap:string,r:string>>"
-
-
 def with_decisions(blocks: DataFrame, rows: DataFrame) -> tuple[DataFrame, object]:
-    """(rows with the columns ``fixes`` and ``joins``, shared decisions or None).
+    """(rows, shared decisions), or (rows with the columns ``fixes`` and ``joins``, None).
 
     Small tables of decisions are shared; beyond SHARED_ROWS each block gets those of its
     own words by joins on the word and on the block.
     """
     fixes, joined = decisions(blocks)
-    none = [F.lit(None).cast(t).alias(c) for c, t in (("fixes", "map<string,string>"), ("joins", "array<struct<l:string,mark:string,gap:string,r:string>>"))]
     if fixes.count() + joined.count() <= SHARED_ROWS:
         table = fixes.toArrow()
         known = dict(zip(table.column("word").to_pylist(), table.column("fix").to_pylist()))
         places = {tuple(r) for r in joined.collect()}
-        return rows.select("*", *none), blocks.sparkSession.sparkContext.broadcast((known, places))
+        return rows, blocks.sparkSession.sparkContext.broadcast((known, places))
 
     def words(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
@@ -468,7 +480,7 @@ def with_decisions(blocks: DataFrame, rows: DataFrame) -> tuple[DataFrame, objec
         for b in it:
             out = []
             for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                found = {place_of(m) for m in BREAK.finditer(text)} if BROKEN.search(text) else ()
+                found = {place_of(m) for m in BREAK.finditer(text)} if has_break(text) else ()
                 out += [(i, l, mark, gap, r.lower()) for l, mark, gap, r in sorted(found) if r]
             yield _batch(out, pa.schema([("block_id", pa.int64()), *_PLACE]))
 

@@ -24,7 +24,7 @@ from paperloom.session import cut_lineage, in_arrow
 
 MIN_MISREAD = 2
 
-_INPUT = ("block_id", "type", "page_idx", "text", "top", "lines", "offset", "seq", "fixes", "joins")
+_INPUT = ("block_id", "type", "page_idx", "text", "top", "lines", "offset", "seq")
 
 
 def _narrow(blocks: DataFrame) -> DataFrame:
@@ -47,11 +47,15 @@ def _furniture(blocks: DataFrame, evidence: DataFrame) -> dict[str, float]:
 def judge(kind: str, page, text: str, top, lines: list, offset, first: bool, reader: SW.Reader, furniture: SW.Perceptron) -> list[str]:
     """The kinds of noise of one block."""
     out = []
-    if reader.splits(text):
-        out.append("hyphen")
-    if kind != "equation" and (kind != "page_number" or SF.is_prose(text)) and reader.misreads(text) >= MIN_MISREAD:
+    whole = text
+    if SW.has_break(text):
+        whole = reader.unbreak(text)
+        if whole != text:
+            out.append("hyphen")
+    words = SW.words_of(whole.lower())
+    if kind != "equation" and (kind != "page_number" or SF.is_prose(text)) and reader.misread_among(words) >= MIN_MISREAD:
         out.append("chars")
-    return out + SF.furniture_kinds(kind, page, text, top, lines, offset, first, furniture)
+    return out + SF.furniture_kinds(kind, page, text, top, lines, offset, first, furniture, "".join(words).casefold())
 
 
 def mend(kind: str, page, text: str, top, lines: list, offset, first: bool, reader: SW.Reader, furniture: SW.Perceptron) -> tuple[str, str]:
@@ -78,7 +82,7 @@ def _judged(blocks: DataFrame, schema: pa.Schema, ddl: str, f: Callable) -> Data
     """Rows that ``f`` gives for each block, with its evidence and the decisions on its words."""
     evidence = cut_lineage(SF.paper_evidence(blocks, SF.evidence_rows(blocks)))
     rows, shared = SW.with_decisions(blocks, _narrow(blocks))
-    rows = rows.join(evidence, ["paper_id", "bucket"], "left").select(*_INPUT)
+    rows = rows.join(evidence, ["paper_id", "bucket"], "left").select(*_INPUT, *(("fixes", "joins") if shared is None else ()))
     weights = _furniture(blocks, evidence)
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,8 +91,8 @@ def _judged(blocks: DataFrame, schema: pa.Schema, ddl: str, f: Callable) -> Data
         for b in it:
             out = [
                 (i, *row)
-                for i, kind, page, text, top, lines, offset, seq, fixes, joins in zip(*(c.to_pylist() for c in b.columns))
-                for row in f(kind or "", page, text, top, lines or [], offset, seq in (0, 1), common or SW.reader_of(None, fixes, joins), furniture)
+                for i, kind, page, text, top, lines, offset, seq, *own in zip(*(c.to_pylist() for c in b.columns))
+                for row in f(kind or "", page, text, top, lines or [], offset, seq in (0, 1), common or SW.reader_of(None, *own), furniture)
             ]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], x.type) for k, x in enumerate(schema)], schema=schema)
 
