@@ -21,11 +21,18 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @LLM.add("p10_canonical")
 def p10_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The canonical text of each document that has look-alikes."""
+    """The canonical text of each document, its own where nothing looks alike."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return lookalike.canonical_members(docs).withColumnRenamed("id", "doc_id")
 
 
+@LLM.add("p10_classes")
+def p10_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that have look-alikes with their class and number of links."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return lookalike.classes(docs).withColumnRenamed("id", "doc_id")
+
+
 @LLM.add("p8_ids")
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document by byte_bpe_50k, without special tokens."""

@@ -8,14 +8,17 @@ to the accent-sensitive Unicode collation under which SQL groups the mapped valu
 So that copies and unrelated texts cost little, the grouping is staged:
 
 1. every text gets a coarse key (the mapped text without accents, hashed); equal
-   looks always have equal coarse keys. Only two numbers per row are shuffled, with
-   map-side combining, to find the coarse keys under which more than one text stands;
-2. only texts under those keys meet by coarse key, are reduced to one row per
-   different text, and are grouped under the collation;
+   looks always have equal coarse keys. Texts are mapped once, and only their numbers
+   (id, key, hash) are kept and shuffled, with map-side combining, to find the coarse keys
+   under which more than one text stands;
+2. only texts under those keys are read again, meet by coarse key, are reduced to one row
+   per different text, and are grouped under the collation. Up to ``NEAR_ROWS`` ids of
+   theirs are sent to the readers, beyond they are joined by shuffle;
 3. each class takes as canonical member the smallest text by code points, and the
    members come back by a join on the class.
 
-Pairs are formed between the different texts of a class first and get their
+``classes`` gives one row per document with its class and its number of links, which copies
+do not multiply. Pairs are formed between the different texts of a class first and get their
 documents afterwards, so a text with very many copies meets its few variants only.
 
 Defined cases: null, empty and blank texts are in no class of ``classes`` and no
@@ -41,6 +44,8 @@ GREEK = dict(zip("ονΑΒΕΖΗΙΚΜΝΟΡΤΥΧϲϳ", "ovABEZHIKMNOPTYXcj"))
 SIGNS = {"‐": "-", "‑": "-", "μ": "µ", "Ω": "Ω", "K": "K", "Å": "Å", "∙": "·", "⋅": "·", "ʼ": "’"}
 #: Characters that show nothing.
 INVISIBLE = "­͏؜ᅟᅠ឴឵᠎​‌‍‎‏‪‫‬‭‮⁠⁡⁢⁣⁤⁦⁧⁨⁩﻿︎️"
+#: Ids and their numbers that are broadcast at most (24 bytes each).
+NEAR_ROWS = 1_000_000
 _FORMS = ("<wide>", "<narrow>", "<font>", "<noBreak>", "<compat>", "<initial>", "<medial>", "<final>", "<isolated>", "<vertical>")
 
 
@@ -103,9 +108,6 @@ def tables() -> tuple[dict[str, str], dict[str, str], dict[str, str]]:
 
 
 _SINGLE, _MULTI, _ACCENTS = tables()
-_COMMON_LIGATURES = [c for c in _MULTI if 0xFB00 <= ord(c) <= 0xFB06 or c in "ĲĳǄǅǆǇǈǉǊǋǌǱǲǳŉ"]
-
-_COMPOSED = [c for c in _ACCENTS if c in _MULTI]
 _COARSE = {k: _ACCENTS.get(v, v) for k, v in (_SINGLE | _ACCENTS).items()}
 
 
@@ -124,15 +126,15 @@ def _plain(col: Column) -> Column:
     return F.octet_length(col) == F.length(col)
 
 
+def _several(col: Column) -> Column:
+    """Characters that stand for several are written out; a text without any is only scanned."""
+    found = F.length(F.translate(col, "".join(_MULTI), "")) < F.length(col)
+    forms = F.array(*[F.struct(F.lit(k).alias("c"), F.lit(v).alias("v")) for k, v in _MULTI.items()])
+    return F.when(found, F.aggregate(forms, col, lambda text, x: F.replace(text, x["c"], x["v"]))).otherwise(col)
+
+
 def _mapped(col: Column, table: dict[str, str]) -> Column:
-    out = col
-    for c in _COMMON_LIGATURES:
-        out = F.replace(out, F.lit(c), F.lit(_MULTI[c]))
-    apart = out
-    for c in _COMPOSED:
-        apart = F.replace(apart, F.lit(c), F.lit(_MULTI[c]))
-    out = F.when(out.rlike(f"[{''.join(_COMPOSED)}]"), apart).otherwise(out)
-    return line_ends(F.when(_plain(col), col).otherwise(_translate(out, table)))
+    return line_ends(F.when(_plain(col), col).otherwise(_translate(_several(col), table)))
 
 
 def mapped(col: Column) -> Column:
@@ -164,25 +166,30 @@ def _contested(keyed: DataFrame) -> DataFrame:
     )
 
 
+def _sized(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` (checkpointed numbers) marked for broadcast if it has no more than NEAR_ROWS rows."""
+    return F.broadcast(df) if rows <= NEAR_ROWS else df
+
+
 def variants(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(members, texts) of the classes with more than one text.
 
-    members: id, key, raw; texts: key, raw, class (the canonical text's ``raw``),
-    canonical. The rows under contested keys, a small part of a usual corpus, are cut
-    off from their lineage so that the corpus is mapped twice and no more.
+    members: id, key, raw; texts: key, raw, class (the canonical text's ``raw``), canonical.
     """
-    keyed = _keyed(df, id_col, text_col)
-    near = cut_lineage(keyed.join(_contested(keyed), "key", "left_semi"))
+    texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    keyed = cut_lineage(_keyed(texts, "id", "text").select("id", "key", "raw"))
+    members = cut_lineage(keyed.join(_contested(keyed), "key", "left_semi"))
+    near = texts.join(_sized(members, members.count()), "id").where(F.xxhash64("text") == F.col("raw"))
     look = F.collate(mapped(F.col("text")), "UNICODE")
-    texts = near.groupBy("key", "raw").agg(F.first("text").alias("text")).withColumn("look", look)
+    different = near.groupBy("key", "raw").agg(F.first("text").alias("text")).withColumn("look", look)
     classes = (
-        texts.groupBy("key", "look")
+        different.groupBy("key", "look")
         .agg(F.min(F.struct("text", "raw")).alias("least"), F.count("*").alias("n"))
         .where(F.col("n") > 1)
         .select("key", "look", F.col("least.raw").alias("class"), F.col("least.text").alias("canonical"))
     )
-    joined = texts.join(classes, ["key", "look"]).select("key", "raw", "class", "canonical")
-    return near.select("id", "key", "raw"), joined
+    joined = different.join(classes, ["key", "look"]).select("key", "raw", "class", "canonical")
+    return members, cut_lineage(joined)
 
 
 def pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -206,7 +213,21 @@ def pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     )
 
 
+def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, class, links): each document in a class, the class' smallest id, and the documents of another text in it."""
+    members, texts = variants(df, id_col, text_col)
+    held = members.distinct().join(texts.select("key", "raw", "class"), ["key", "raw"])
+    alike = held.groupBy("key", "class", "raw").agg(F.count("*").alias("same"), F.min("id").alias("least"))
+    whole = alike.groupBy("key", "class").agg(F.sum("same").alias("all"), F.min("least").alias("least"))
+    links = alike.select("key", "class", "raw", "same").join(whole, ["key", "class"])
+    numbers = links.select("key", "class", "raw", F.col("least").alias("first"), (F.col("all") - F.col("same")).alias("links"))
+    return held.join(numbers, ["key", "class", "raw"]).select("id", F.col("first").alias("class"), "links")
+
+
 def canonical_members(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, canonical): the canonical text of every document in a class of several texts."""
+    """(id, canonical): every document with its class' canonical text; a document without look-alikes keeps its own text."""
     members, texts = variants(df, id_col, text_col)
-    return members.join(texts.select("key", "raw", "canonical"), ["key", "raw"]).select("id", "canonical")
+    held = members.join(texts.select("key", "raw", "class", "canonical"), ["key", "raw"])
+    other = held.where(F.col("raw") != F.col("class")).select("id", F.col("raw"), "canonical").distinct()
+    all_ = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col("id").isNotNull())
+    return all_.withColumn("raw", F.xxhash64("text")).join(other, ["id", "raw"], "left").select("id", F.coalesce("canonical", "text").alias("canonical"))
