@@ -11,7 +11,10 @@ repetitions uses its own walk and samples ``SAMPLE`` of the ``3 * WINDOW`` posit
 as an LSH key. Item windows form sorted key tables; document windows look their keys
 up, all in vectorised numpy. ``MIN_HITS`` colliding document positions make a
 candidate, which an exact check decides: the item's words, in order, in pieces of at
-least eight words with single altered words allowed, must reach 40 of every 100.
+least eight words with single altered words allowed, must reach 40 of every 100. The check
+is a dynamic programme over the equal words of both (``covered``), which finds the most
+that any choice of pieces covers; a greedy alignment that already reaches the share is a
+witness and spares it.
 
 The item tables are shipped to the workers in blocks of at most ``BLOCK_WORDS`` item
 words, whatever the number of items; the corpus itself is neither shuffled nor
@@ -40,6 +43,8 @@ REPEATS = 3
 SAMPLE = 9
 MIN_HITS = 2
 MIN_PIECE = 8
+#: Equal words in a row after which a piece may go on over an altered, added or dropped word.
+MIN_RUN = 2
 SHARE = 0.4
 #: Item words in one block of tables (8 bytes a word and repetition, about 100 MB).
 BLOCK_WORDS = 2_000_000
@@ -51,7 +56,7 @@ _SEED = 20_240_101
 def word_hashes(col: Column) -> Column:
     """The words of a text as 64-bit hashes, in order; a text without words gives one filler."""
     x = F.lower(coarse(F.coalesce(col, F.lit(""))))
-    x = F.regexp_replace(x, r"</?[a-z][^<>]{0,200}>|&#?[a-z0-9]{1,8};|\\[a-z]+\*?|\[\d+(?:[,;–-] ?\d+)*\]|!\[", " ")
+    x = F.regexp_replace(x, r"</?[a-z][^<>]*>|&#?[a-z0-9]+;|\\[a-z]+\*?|\[\d+(?:[,;–-] ?\d+)*\]|!\[", " ")
     x = F.regexp_replace(x, r"(?<=\p{L})[-¬]\s+(?=\p{L})", "")
     x = F.regexp_replace(x, r"([㐀-鿿])", " $1 ")
     x = F.trim(F.regexp_replace(x, r"[^\p{L}\p{N}]+", " "))
@@ -145,30 +150,103 @@ class ItemTables:
         return [(int(a), int(b)) for a, b in pairs[:, count >= MIN_HITS].T]
 
 
-def covered(text: list[int], item: list[int]) -> int:
-    """Words of the item in pieces of at least MIN_PIECE words that the text holds in order.
-
-    A piece may hold single altered, added or dropped words between its runs.
-    """
-    total = begin = end_item = end_text = 0
+def witness(text: list[int], item: list[int]) -> int:
+    """Words of the item that one greedy alignment covers in pieces; at most ``covered``."""
+    total = begin = end_item = end_text = run = 0
     for a, b, n in SequenceMatcher(None, text, item, autojunk=False).get_matching_blocks():
-        if n and begin is not None and end_item > begin and a - end_text <= 1 and b - end_item <= 1:
-            end_text, end_item = a + n, b + n
+        if n and end_item > begin and a - end_text <= 1 and b - end_item <= 1 and run >= MIN_RUN:
+            end_text, end_item, run = a + n, b + n, n
             continue
         if end_item - begin >= MIN_PIECE:
             total += end_item - begin
-        begin, end_item, end_text = b, b + n, a + n
+        begin, end_item, end_text, run = b, b + n, a + n, n
     return total
 
 
+def _steps(m: tuple[int, int]) -> list[tuple[int, int]]:
+    """The equal words from which a piece may go on to ``m``: next to it, or over one word of either or both."""
+    t, j = m
+    return [(t - 1, j - 1), (t - 2, j - 2), (t - 2, j - 1), (t - 1, j - 2)]
+
+
+def pieces(text: list[int], item: list[int]) -> list[tuple[int, int]]:
+    """(text place, item place) of the equal words that lie in some piece of MIN_PIECE item words."""
+    at: dict[int, list[int]] = {}
+    for j, w in enumerate(item):
+        at.setdefault(w, []).append(j)
+    equal = [(t, j) for t, w in enumerate(text) for j in at.get(w, ())]
+    first: dict[tuple[int, int], int] = {}  # the earliest item place from which a piece leads here
+    for m in equal:
+        first[m] = min([m[1], *(first[p] for p in _steps(m) if p in first)])
+    last: dict[tuple[int, int], int] = {m: m[1] for m in equal}
+    for m in reversed(equal):
+        for p in _steps(m):
+            if p in last:
+                last[p] = max(last[p], last[m])
+    return [m for m in equal if last[m] - first[m] + 1 >= MIN_PIECE]
+
+
+def covered(text: list[int], item: list[int]) -> int:
+    """Most words of the item in pieces of at least MIN_PIECE words that the text holds in order.
+
+    A piece may hold single altered, added or dropped words, each after MIN_RUN equal ones.
+    State of the programme: an equal word as the end of a piece of 1 to MIN_PIECE or more
+    item words and of a run of 1 to MIN_RUN or more equal ones, with the most words covered
+    up to it; ended pieces are kept as the best total up to each item place.
+    """
+    ended = [0] * (len(item) + 1)  # ended[j]: best total of pieces that end before item place j, in the text so far
+    open_: dict[tuple[int, int], list[int]] = {}
+    waiting: list[tuple[int, int, int]] = []  # (text place, item place, total) of pieces that may have ended
+
+    def end(place: int, total: int) -> None:
+        for k in range(place + 1, len(ended)):
+            if ended[k] >= total:
+                break
+            ended[k] = total
+
+    for m in pieces(text, item):
+        t, j = m
+        while waiting and waiting[0][0] < t:
+            end(*waiting.pop(0)[1:])
+        best = {(1, 1): ended[j] + 1}
+        for p in _steps(m):
+            step, whole = j - p[1], p == (t - 1, j - 1)
+            for (size, run), total in open_.get(p, {}).items():
+                if whole or run >= MIN_RUN:
+                    to = min(MIN_PIECE, size + step), min(MIN_RUN, run + 1) if whole else 1
+                    best[to] = max(best.get(to, 0), total + step)
+        open_[m] = best
+        done = max((total for (size, _), total in best.items() if size == MIN_PIECE), default=0)
+        if done:
+            waiting.append((t, j, done))
+    for _, j, total in waiting:
+        end(j, total)
+    return ended[-1]
+
+
+def coverable(text: np.ndarray, item: np.ndarray) -> int:
+    """Item words in runs of at least MIN_PIECE whose words the text has in any order, single ones missing; no less than ``covered``."""
+    at = np.flatnonzero(np.isin(item, text))
+    if not len(at):
+        return 0
+    cuts = np.flatnonzero(np.diff(at) > 2)
+    spans = at[np.append(cuts, len(at) - 1)] - at[np.append(0, cuts + 1)] + 1
+    return int(spans[spans >= MIN_PIECE].sum())
+
+
+def holds(text: np.ndarray, item: np.ndarray) -> bool:
+    """The text holds at least SHARE of the item's words in pieces."""
+    need = SHARE * len(item)
+    if coverable(text, item) < need:
+        return False
+    t, i = text.tolist(), item.tolist()
+    return witness(t, i) >= need or covered(t, i) >= need
+
+
 def _search(tables: ItemTables, ids: np.ndarray, words: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int]]:
     out = []
     for t, k in tables.candidates(words, offsets):
-        item = tables.words[k]
-        text = words[offsets[t] : offsets[t + 1]]
-        if np.isin(item, text).sum() < SHARE * len(item) * 0.8:
-            continue  # too few common words whatever their order
-        if covered(text.tolist(), item.tolist()) >= SHARE * len(item):
+        if holds(words[offsets[t] : offsets[t + 1]], tables.words[k]):
             out.append((int(ids[t]), tables.ids[k]))
     return out
 

@@ -116,3 +116,47 @@ def test_words_of_the_corpus_count_whole_papers(spark, medium):
     assert words["de", "zwirbelfunk"] == 60 and all(n == 100 for (_, w), n in words.items() if w in languages.tokens(text))
     rows = papers(spark, [("a", None, text, None, dt.datetime(2020, 1, 1))])
     assert [tuple(r) for r in languages.mixtures(rows, samples).collect()] == [("a", "de", 1.0)]
+
+
+def slow_cover(text, item, least):
+    """Best chain of pieces by trying all."""
+    equal = [(t, j) for t, w in enumerate(text) for j, x in enumerate(item) if w == x]
+    runs = {(m, m, 1) for m in equal}
+    todo = list(runs)
+    while todo:
+        a, (t, j), run = todo.pop()
+        for n in ((t + 1, j + 1), (t + 2, j + 2), (t + 2, j + 1), (t + 1, j + 2)):
+            whole = n == (t + 1, j + 1)
+            state = (a, n, min(leaks.MIN_RUN, run + 1) if whole else 1)
+            if n in equal and (whole or run >= leaks.MIN_RUN) and state not in runs:
+                runs.add(state)
+                todo.append(state)
+    ranges = sorted({(a, b) for a, b, _ in runs if b[1] - a[1] + 1 >= least})
+
+    def best(t, j):
+        return max([0, *(b[1] - a[1] + 1 + best(b[0] + 1, b[1] + 1) for a, b in ranges if a[0] >= t and a[1] >= j)])
+
+    return best(0, 0)
+
+
+def test_cover_is_the_best_of_all_choices(monkeypatch):
+    import random
+
+    import numpy as np
+
+    monkeypatch.setattr(leaks, "MIN_PIECE", 3)
+    rng = random.Random(2)
+    for _ in range(400):
+        item = [rng.randrange(5) for _ in range(rng.randint(1, 9))]
+        text = [rng.randrange(5) for _ in range(rng.randint(1, 9))]
+        want = slow_cover(text, item, 3)
+        assert leaks.covered(text, item) == want
+        assert leaks.witness(text, item) <= want <= leaks.coverable(np.array(text), np.array(item))
+
+
+def test_long_tags_do_not_split_a_passage(spark):
+    passage = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(40))
+    w = passage.split()
+    text = " ".join(w[:6]) + f' <a href="{"x" * 900}">' + " ".join(w[6:13]) + "</a> " + " ".join(w[13:])
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    assert leaks.leaked(docs, spark.createDataFrame([(5, passage)], "item_id bigint, text string")).count() == 1
