@@ -63,6 +63,21 @@ def many(part: Parser) -> Parser:
     return run
 
 
+def some(part: Parser) -> Parser:
+    """One or more."""
+    return check(many(part), bool)
+
+
+def check(part: Parser, test: Callable) -> Parser:
+    """``part``, if its value passes ``test``."""
+
+    def run(text: str, at: int) -> Result:
+        r = part(text, at)
+        return r if r is not None and test(r[0]) else None
+
+    return run
+
+
 def maybe(part: Parser) -> Parser:
     def run(text: str, at: int) -> Result:
         return part(text, at) or (None, at)

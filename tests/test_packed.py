@@ -64,3 +64,36 @@ def test_long_raw_is_linear():
     began = time.time()
     assert len(packed.reference_list(raw)) == 3000
     assert time.time() - began < 20
+
+
+@pytest.mark.parametrize("size", [10, 50, 150, 5_000])
+def test_a_reference_may_end_with_a_link_of_any_length(size):
+    a = "Ann B. Cee, On x, J. Y. Z 4 (1999), https://x.org/" + "a" * size
+    assert [v for _, v, _ in packed.reference_list(a + "; " + B)] == [a, B]
+
+
+@pytest.mark.parametrize("end", ["(n.d.).", "in press.", "(forthcoming).", "im Druck.", "no prelo."])
+def test_references_without_years(spark, end):
+    a, b = f"Cee, A. On x. J. Y. Z, {end}", f"Eff, D. On y. J. Z, {end}"
+    assert [v for _, v, _ in packed.reference_list(a + "\n" + b)] == [a, b]
+    df = spark.createDataFrame([(1, a + "\n" + b), (2, a)], "ref_id bigint, raw string")
+    assert packed.packed_references(df).count() == 2
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("Keywords: [a, (b, c)], d; {e, f}.", ["[a, (b, c)]", "d", "{e, f}"]),
+        ("Keywords: (a, b) c, d", ["(a, b) c", "d"]),
+        ("Keywords: (a, b; c", ["(a", "b", "c"]),
+        ("Keywords: " + "(" * 20_000 + "a, b", ["(" * 20_000 + "a", "b"]),
+        ("Keywords: " + "(" * 20_000 + "a, b" + ")" * 20_000 + "; c", ["(" * 20_000 + "a, b" + ")" * 20_000, "c"]),
+    ],
+)
+def test_bracketed_values(text, want):
+    assert [v for _, v, _ in packed.labelled_list(text)] == want
+
+
+def test_bracketed_references():
+    a, b = "[Cee, A. On x. J. Y. Z, 1999; 4, 1-9]", "[Eff, D. (On y) 2004; 3]"
+    assert [v for _, v, _ in packed.reference_list(f"{a}; {b}")] == [a, b]
