@@ -6,7 +6,8 @@ A record (an XML string) becomes rows of one adjacency table:
 ``parent``   number of its parent, null for the root
 ``label``    element name without namespace, ``@name`` for an attribute
 ``ordinal``  position among the siblings with the same label, from 1
-``scalar``   own text of an element without element children, value of an attribute
+``scalar``   own text of an element (beside element children only if it is not blank), value of an
+             attribute
 ``path``     labels from the root to the parent, the chosen attributes' values added
              as ``label=value``
 ``anc``      node numbers from the root to the parent, in step with ``path``
@@ -60,7 +61,8 @@ class _Builder:
         self.path: list[str] = []
         self.anc: list[int] = []
         self.counts: list[dict[str, int]] = [{}]
-        self.text: list[list[str] | None] = []
+        self.text: list[list[str]] = []
+        self.mixed: list[bool] = []
         self.open: list[list | None] = []
 
     def _ordinal(self, label: str) -> int:
@@ -79,8 +81,8 @@ class _Builder:
 
     def start(self, name: str, attrs: list[str]) -> None:
         label = name.rpartition(" ")[2]
-        if self.text:
-            self.text[-1] = None  # its parent has element children, thus no scalar
+        if self.mixed:
+            self.mixed[-1] = True
         node = self.next
         row = self._add(label, None)
         step = label
@@ -92,19 +94,20 @@ class _Builder:
         self.counts.append({})
         self.open.append(row)
         self.text.append([])
+        self.mixed.append(False)
         for k, v in zip(attrs[::2], attrs[1::2]):
             self._add("@" + k.rpartition(" ")[2], v)
 
     def data(self, chunk: str) -> None:
-        if self.text and self.text[-1] is not None:
+        if self.text:
             self.text[-1].append(chunk)
 
     def end(self, _name: str) -> None:
         for stack in (self.path, self.anc, self.counts):
             stack.pop()
-        row, parts = self.open.pop(), self.text.pop()
-        if row is not None and parts is not None:
-            row[4] = "".join(parts)
+        row, own, mixed = self.open.pop(), "".join(self.text.pop()), self.mixed.pop()
+        if row is not None and (own.strip() or not mixed):
+            row[4] = own
 
 
 def parse_record(
@@ -210,9 +213,11 @@ def objects(nodes: DataFrame, kinds: Sequence[Kind]) -> DataFrame:
     )
 
 
-def numbered(objs: DataFrame, root_kind: str = "article") -> DataFrame:
+def numbered(objs: DataFrame, root_kind: str = "article", parents: Sequence[str] | None = None) -> DataFrame:
     """Objects with ``pos`` (count of the kind in document order) and the parent's pos.
 
+    ``parents``: the kinds that can be parents, all if None; others need not meet anyone.
+
     A child meets its parent by co-grouping on (id, rec, node): each object stands
     once under its own number, as a parent, and once under its parent's, as a child.
     All windows keep the partitioning by id, so nothing is shuffled again. An object
@@ -225,10 +230,11 @@ def numbered(objs: DataFrame, root_kind: str = "article") -> DataFrame:
         F.struct(F.lit(True).alias("is_parent"), F.col("node").alias("key")),
     )
     meet = Window.partitionBy("id", "rec", "key")
+    may = F.lit(True) if parents is None else F.col("kind").isin(*parents)
     joined = (
         placed.select("*", F.explode(sides).alias("side"))
         .select("*", "side.is_parent", "side.key")
-        .where(~F.col("is_parent") | F.col("kind").isin("sec", "ref", "author"))
+        .where(~F.col("is_parent") | may)
         .withColumn("met", F.max(F.when(F.col("is_parent"), F.struct("kind", "pos"))).over(meet))
         .where(~F.col("is_parent"))
     )
@@ -249,11 +255,12 @@ def entity_table(adjacency: DataFrame, objs: DataFrame, kind: str, columns: dict
 
     ``columns``: result column -> condition that picks the scalar node (over
     ``label`` and ``path``); the first in document order is taken. ``steps``: the
-    labels of the object's own element, by which a scalar finds its object.
+    labels of the object's own element, by which a scalar finds its object; the element's own
+    text counts too.
     """
     rows = objs.where(F.col("kind") == kind)
     name = F.coalesce(*[F.when(c, F.lit(n)) for n, c in columns.items()])
-    own = nearest(lambda s: F.substring_index(s, "=", 1).isin(*steps))
+    own = F.when(F.col("label").isin(*steps), F.col("node")).otherwise(nearest(lambda s: F.substring_index(s, "=", 1).isin(*steps)))
     scalars = (
         adjacency.withColumn("name", name)
         .where(F.col("name").isNotNull() & F.col("scalar").isNotNull())
@@ -328,7 +335,8 @@ def with_children(adjacency: DataFrame) -> DataFrame:
 
 def article_objects(adjacency: DataFrame) -> DataFrame:
     """The numbered objects of an article's adjacency table."""
-    return numbered(objects(with_children(adjacency), article_kinds()))
+    kinds = article_kinds()
+    return numbered(objects(with_children(adjacency), kinds), "article", sorted({p for k in kinds for p, _ in k.parents}))
 
 
 def article_nodes(df: DataFrame, id_col: str = "xml_id", xml_col: str = "xml") -> DataFrame:

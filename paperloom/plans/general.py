@@ -24,7 +24,7 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ENTITY_LABELS = (
     *shred.ARTICLE_LABELS, "@contrib-type", "surname", "given-names", "given-name", "title", "section-title",
     "article-title", "source", "year", "label", "pub-id", "textref", "mixed-citation", "doi", "article-id", "text", "volume",
-    "issue", "pubdate", "journal-title",
+    "issue", "pubdate", "pub-date", "journal-title", "country", "institution", "textfn", "p", "surname", "article",
 )
 
 
@@ -75,6 +75,62 @@ def p3_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _entity(spark, sf_dir, "author", columns, ("contrib", "author"))
 
 
+@GENERAL.add("p3_affiliations")
+def p3_affiliations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Affiliations, tied to the author around them."""
+    label, inner = F.col("label"), shred.has_step("aff", "affiliation")
+    columns = {"name": label.isin("aff", "institution", "textfn"), "country": (label == "country") & inner, "label": (label == "label") & inner}
+    return _entity(spark, sf_dir, "aff", columns, ("aff", "affiliation"))
+
+
+@GENERAL.add("p3_keywords")
+def p3_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keywords of the paper."""
+    label = F.col("label")
+    return _entity(spark, sf_dir, "kwd", {"keyword": (label == "kwd") | ((label == "text") & shred.has_step("keyword"))}, ("kwd", "keyword"))
+
+
+def _captioned(spark: SparkSession, sf_dir: str, kind: str, steps: tuple[str, ...]) -> DataFrame:
+    label, inner = F.col("label"), shred.has_step(*steps)
+    columns = {"label": (label == "label") & inner, "caption": ((label == "caption") | (label.isin("p", "title") & shred.has_step("caption"))) & inner}
+    return _entity(spark, sf_dir, kind, columns, steps)
+
+
+@GENERAL.add("p3_figures")
+def p3_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captioned figures, tied to their section."""
+    return _captioned(spark, sf_dir, "fig", ("fig", "figure"))
+
+
+@GENERAL.add("p3_tables")
+def p3_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captioned tables, tied to their section."""
+    return _captioned(spark, sf_dir, "table", ("table-wrap", "table"))
+
+
+@GENERAL.add("p3_ref_authors")
+def p3_ref_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Authors of the bibliography entries, tied to their entry."""
+    label = F.col("label")
+    columns = {"surname": label == "surname", "given": label.isin("given-names", "given-name"), "name": label.isin("collab", "name", "string-name")}
+    return _entity(spark, sf_dir, "ref_author", columns, ("name", "string-name", "collab", "author"))
+
+
+@GENERAL.add("p3_articles")
+def p3_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per record with its own scalars."""
+    label, path = F.col("label"), F.col("path")
+    outside = ~shred.has_step("ref", "bib-reference", "abstract", "sec", "section")
+    columns = {
+        "title": (label == "article-title") | ((label == "title") & (F.size(path) <= 3)),
+        "doi": label.isin("doi", "article-id"), "journal": label == "journal-title", "volume": label == "volume", "year": label.isin("year", "pubdate"),
+    }
+    name = F.coalesce(*[F.when(c & outside, F.lit(n)) for n, c in columns.items()])
+    pick = [F.min(F.when(F.col("name") == n, F.struct("node", F.trim("scalar").alias("v")))).getField("v").alias(n) for n in columns]
+    adj = _adjacency(spark, sf_dir).withColumn("name", name).where(F.col("id").isNotNull())
+    return adj.groupBy("id", "rec").agg(F.count_distinct("node").alias("nodes"), *pick).select(F.col("id").alias("xml_id"), "nodes", *columns)
+
+
 @GENERAL.add("p5_found")
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packed references and labelled lists, one row per value."""

@@ -2,6 +2,7 @@ import re
 import xml.etree.ElementTree as ET
 from collections import Counter
 
+from pyspark.sql import functions as F
 from paperloom.operators import shred
 
 
@@ -85,3 +86,29 @@ def test_adjacency_keeps_structure():
     assert [(r[0], r[1], r[2], r[3], r[4]) for r in rows] == [
         (0, None, "r", 1, None), (1, 0, "a", 1, "t & u"), (2, 1, "@k", 1, "v"), (3, 0, "a", 2, ""),
     ]
+
+
+def test_entity_tables_keep_parents_and_own_text(spark, small, tmp_path):
+    from paperloom.plans import general
+
+    xml = (
+        "<article><article-meta><title-group><article-title>On x</article-title></title-group><contrib-group>"
+        "<contrib contrib-type='author'><name><surname>Cee</surname><given-names>A</given-names></name><aff>Dept of X<country>Y</country></aff></contrib></contrib-group>"
+        "<kwd-group><kwd>one</kwd><kwd>two</kwd></kwd-group></article-meta><body><sec><title>S</title><fig><label>Figure 1</label><caption><p>Cap</p></caption></fig></sec></body>"
+        "<back><ref-list><ref><label>1</label><mixed-citation><collab>Group Z</collab></mixed-citation></ref></ref-list></back></article>"
+    )
+    spark.createDataFrame([(1, xml, "p"), (1, xml, "p"), (2, "<broken", "p"), (3, None, "p")], "xml_id bigint, xml string, pos string").write.parquet(f"{tmp_path}/xml_docs.parquet")
+    rows = lambda q: [tuple(r) for r in q(spark, str(tmp_path)).collect()]
+    assert rows(general.p3_affiliations) == [(1, 1, "author", 1, "Dept of X", "Y", None)]
+    assert sorted(r[-1] for r in rows(general.p3_keywords)) == ["one", "two"]
+    assert rows(general.p3_figures) == [(1, 1, "sec", 1, "Figure 1", "Cap")]
+    assert rows(general.p3_ref_authors) == [(1, 1, "ref", 1, None, None, "Group Z")]
+    assert [r[2] for r in rows(general.p3_articles)] == ["On x"]
+
+
+def test_parents_come_from_the_kinds(spark):
+    doc = "<a><box><item>1</item></box><box><item>2</item><item>3</item></box></a>"
+    nodes = shred.with_children(shred.shred(spark.createDataFrame([(1, doc)], "id bigint, x string"), "id", "x"))
+    kinds = [shred.Kind("box", F.col("label") == "box"), shred.Kind("item", F.col("label") == "item", [("box", lambda s: s == "box")])]
+    got = {(r.kind, r.pos, r.parent_kind, r.parent_pos) for r in shred.numbered(shred.objects(nodes, kinds)).collect()}
+    assert got == {("box", 1, "article", 0), ("box", 2, "article", 0), ("item", 1, "box", 1), ("item", 2, "box", 2), ("item", 3, "box", 2)}
