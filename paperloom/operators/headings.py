@@ -31,7 +31,7 @@ def classify(rows: DataFrame, papers: DataFrame) -> DataFrame:
     again = F.coalesce(h == T.heading_norm(F.col("title")), F.lit(False)) & (nth > 1)
     figure = F.col("content").rlike(r"(?i)^(fig(ure)?\.?|table|scheme)\s*\d")
     kind = (
-        F.when(T.any_match(F.col("content"), T.HEADING_NOISE), "noise")
+        F.when(T.heading_noise(F.col("content")), "noise")
         .when(again, "title again")
         .when(figure, "caption")
         .when((nth == 2) & ~T.looks_like_section(F.col("content")) & (F.col("prev_kind") == "heading"), "subtitle")

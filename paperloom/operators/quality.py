@@ -2,48 +2,55 @@
 
 from __future__ import annotations
 
-import re
+from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.functions import text as T
+from paperloom.session import in_arrow
 
 # Thresholds of degenerate loops.
-MIN_LINE, MIN_SIGNATURE, MIN_SPAN, MIN_REPEATS, MIN_PERIOD, MAX_PERIOD, STEP = 200, 500, 300, 10, 4, 50, 10
+MIN_LINE, MIN_SIGNATURE, MIN_SPAN, MIN_REPEATS, MIN_PERIOD, MAX_PERIOD = 200, 500, 300, 10, 4, 50
 
 
 def loop_in(sig: str) -> tuple[int, int, int] | None:
-    """(start, period, repeats) of the first degenerate loop of a signature."""
+    """(start, period, repeats) of the first degenerate loop of a signature, of those with one start the shortest period.
+
+    A stretch has period p where every sign equals the one p places on; the lengths of these
+    stretches come from one pass a period.
+    """
     if len(sig) < MIN_SIGNATURE:
         return None
-    for start in range(0, len(sig) - MIN_SIGNATURE + 1, STEP):
-        for period in range(MIN_PERIOD, MAX_PERIOD + 1):
-            unit, n, at = sig[start : start + period], 1, start + period
-            while sig.startswith(unit, at):
-                n, at = n + 1, at + period
-            if n >= MIN_REPEATS and n * period >= MIN_SPAN:
-                return start, period, n
-    return None
+    a = np.frombuffer(sig.encode("utf-32-le"), np.uint32)
+    best = None
+    for p in range(MIN_PERIOD, MAX_PERIOD + 1):
+        least = max(MIN_REPEATS, -(-MIN_SPAN // p))
+        breaks = np.flatnonzero(a[:-p] != a[p:])
+        starts = np.append(0, breaks + 1)
+        lengths = np.append(breaks, len(a) - p) - starts
+        hit = np.flatnonzero(lengths >= (least - 1) * p)
+        if len(hit) and (best is None or starts[hit[0]] < best[0]):
+            k = hit[0]
+            best = int(starts[k]), p, int(lengths[k] // p) + 1
+    return best
 
 
 def degenerate_lines(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, line_no, period, repeats): long lines whose signature repeats one unit.
+    """(id, line_no, period, repeats): long lines whose signature repeats one unit; short ones stay in the JVM."""
+    schema = pa.schema([("id", pa.int64()), ("line_no", pa.int32()), ("period", pa.int32()), ("repeats", pa.int32())])
 
-    The JVM keeps only lines that a back-reference shows to repeat some unit ten times;
-    those few are walked exactly in Arrow batches.
-    """
+    def walk(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            rows = [(i, n, f[1], f[2]) for i, n, sig in zip(*(c.to_pylist() for c in b.columns)) if (f := loop_in(sig))]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
 
-    @F.pandas_udf("period int, repeats int")
-    def walk(sigs: pd.Series) -> pd.DataFrame:
-        hits = [loop_in(s) for s in sigs]
-        return pd.DataFrame({"period": pd.array([h and h[1] for h in hits], dtype="Int32"), "repeats": pd.array([h and h[2] for h in hits], dtype="Int32")})
-
-    lines = df.select(F.col(id_col).alias("id"), F.posexplode(F.split(F.col(text_col), "\n")).alias("p", "line"))
+    long = df.where(F.length(text_col) >= MIN_SIGNATURE)
+    lines = long.select(F.col(id_col).cast("bigint").alias("id"), F.posexplode(F.split(F.col(text_col), "\n")).alias("p", "line"))
     sig = lines.where(F.length("line") >= MIN_LINE).select("id", (F.col("p") + 1).alias("line_no"), T.signature(F.col("line")).alias("sig"))
-    cand = sig.where((F.length("sig") >= MIN_SIGNATURE) & F.col("sig").rlike(r"(.{4,50}?)\1{9}"))
-    return cand.withColumn("f", walk("sig")).where(F.col("f.period").isNotNull()).select("id", "line_no", "f.period", "f.repeats")
+    return sig.where(F.length("sig") >= MIN_SIGNATURE).transform(in_arrow, walk, "id bigint, line_no int, period int, repeats int")
 
 
 def page_completeness(pages: DataFrame, ratio: float = 0.6) -> DataFrame:
@@ -61,37 +68,23 @@ def missing_numbers(actual: Column, mentioned: Column) -> Column:
     return F.when(F.size(known) > 0, F.array_except(F.sequence(F.array_min(known), F.array_max(known)), actual)).otherwise(F.array().cast("array<int>"))
 
 
-# What marks a mention as another work's.
-_EXTERNAL_BEFORE = (re.compile(r"\bwhose\s+$", re.I), re.compile(r"\bRefs?\.?\s*\[+\d+(?:[,–-]\s*\d+)*\]*(?:\]\([^)]*\))?\s*[,;:]?\s*$", re.I))
-_EXTERNAL_AFTER = re.compile(r"^\s*(?:of|in)\s+(?:Refs?\.?\b|\[+\d)", re.I)
-_MENTION = re.compile(r"\b(Fig(?:ure)?\.?|Table)\s*(\d+)")
-
-
-def own_mentions(prose: str) -> dict[str, list[int]]:
-    """Figures and tables that a text mentions as its own, not as another work's.
-
-    A mention chained by *or* / *and* to an outer one is outer too.
-    """
-    figures, tables, outer_end = set(), set(), -1
-    for m in _MENTION.finditer(prose):
-        before, after = prose[max(0, m.start() - 60) : m.start()], prose[m.end() : m.end() + 40]
-        chained = outer_end >= 0 and m.start() - outer_end < 20 and re.search(r"(?:or|and)\s*$", before, re.I)
-        if chained or any(p.search(before) for p in _EXTERNAL_BEFORE) or _EXTERNAL_AFTER.match(after):
-            outer_end = m.end()
-            continue
-        (tables if m.group(1) == "Table" else figures).add(int(m.group(2)))
-    return {"figures": sorted(figures), "tables": sorted(tables)}
+_ONE = r"(?:Fig(?:ure)?\.?|Table)\s*\d+"
+#: A mention with those that *or* and *and* tie to it.
+_TIED = rf"{_ONE}(?:[^\n]{{0,38}}?\b(?:or|and)\s+{_ONE})*"
+#: Mentions that belong to another work: after *whose* or its number, or followed by *of* or *in* and its number.
+OUTER_BEFORE = rf"(?:\b[Ww]hose\s+|\bRefs?\.?\s*\[+\d+(?:[,–-]\s*\d+)*\]*(?:\]\([^)]*\))?\s*[,;:]?\s*){_TIED}"
+OUTER_AFTER = rf"\b{_ONE}\s*(?:of|in)\s+(?:[Rr]efs?\b|\[+\d)(?:[^\n]{{0,38}}?\b(?:or|and)\s+{_ONE})*"
 
 
 def mentions(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, figures, tables) of every text with a mention."""
-
-    @F.pandas_udf("figures array<int>, tables array<int>")
-    def run(values: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([own_mentions(v or "") for v in values], columns=["figures", "tables"])
+    """(id, figures, tables) of every text with a mention: the numbers that it mentions as its own work's.
 
+    Mentions of other works are cut out first, with those that *or* and *and* tie to them.
+    """
     some = df.where(F.col(text_col).rlike(r"\b(Fig|Table)"))
-    return some.select(F.col(id_col).alias("id"), run(text_col).alias("m")).select("id", "m.figures", "m.tables")
+    own = F.regexp_replace(F.regexp_replace(F.col(text_col), OUTER_BEFORE, " "), OUTER_AFTER, " ")
+    number = lambda p: F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(own, F.lit(p), 1), lambda n: n.cast("int"))))
+    return some.select(F.col(id_col).alias("id"), number(r"\bFig(?:ure)?\.?\s*(\d{1,9})").alias("figures"), number(r"\bTable\s*(\d{1,9})").alias("tables"))
 
 
 def references_misplaced(rows: DataFrame) -> DataFrame:

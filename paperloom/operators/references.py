@@ -3,107 +3,148 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.functions import bibliography as B
 from paperloom.functions import text as T
+from paperloom.session import cut_lineage, in_arrow
 
-# How a numbered entry begins, at the start of a row and inside it.
-_OPEN = re.compile(r"\s*(?:\[(\d{1,4})\]\s+(?=[A-Z\"'(])|(\d{1,4})[.)]\s+(?=[A-Z\"'(])|(\d{1,4})\s+(?=[A-Z]))")
-_INNER = (
-    (re.compile(r"\[(\d{1,4})\]\s+(?=[A-Z\"'(])"), False),
-    (re.compile(r"(?<=\.\s)(\d{1,4})\.\s+(?=[A-Z])"), True),
-    (re.compile(r"(?<=\.\s)(\d{1,4})\s+(?=[A-Z])"), True),
-)
-_DATED = re.compile(r".{0,100}\((?:19|20)\d{2}[a-z]?\)", re.S)
+#: A number that may open an entry: in brackets, or with or without a full stop.
+_MARK = re.compile(r"\[(\d{1,4})\]\s+|(?<![\w.,/–-])(\d{1,4})[.)]?\s+")
+_YEAR = re.compile(r"(?<!\d)(?:1[89]|20)\d{2}(?!\d)")
 MIN_ENTRY = 6
+#: Pages of a reference list that are split together.
+LIST_PAGES = 64
+
+
+def _opens(text: str, at: int) -> bool:
+    """What stands at ``at`` can begin an entry: a capital, a letter without case, a quote or a bracket."""
+    c = text[at : at + 1]
+    return bool(c) and (c in "\"'(“«" or (c.isalpha() and not c.islower()))
 
 
-def entry_starts(text: str, last: int) -> list[tuple[int, int, bool]]:
-    """(place, number, must follow on) of the entries that begin in a row of text.
+class EntryFolder:
+    """Folds the rows of one list, in order, into entries (number or None, raw).
 
-    Bracketed numbers begin an entry wherever a capital follows; dotted and bare ones only
-    as successor of ``last``.
+    A bracketed number opens an entry wherever an entry can begin after it. A number with a
+    full stop or none opens one only at a row's beginning or after a full stop, and only as
+    successor of the one before. A row without marks goes on with the entry before it. A list
+    without any number has one entry a row, where dated rows open one.
     """
-    marks: dict[int, tuple[int, bool]] = {}
-    if m := _OPEN.match(text):
-        if m.group(1):
-            marks[0] = (int(m.group(1)), False)
-        elif int(m.group(2) or m.group(3)) == last + 1:
-            marks[0] = (last + 1, True)
-    for rx, running in _INNER:
-        for m in rx.finditer(text):
-            n = int(m.group(1))
-            if m.start(1) and (not running or n == last + 1):
-                marks.setdefault(m.start(1) if running else m.start(), (n, running))
-    return [(at, n, run) for at, (n, run) in sorted(marks.items())]
+
+    def __init__(self, last: int = 0):
+        self.last = last
+        self.entries: list[list] = []
+        self.rows: list[str] = []
+        self.leading = ""
+
+    def add(self, text: str | None) -> None:
+        text = (text or "").strip()
+        if not text:
+            return
+        self.rows.append(text)
+        cuts: list[tuple[int, int]] = []
+        for m in _MARK.finditer(text):
+            if not _opens(text, m.end()):
+                continue
+            if m.group(1):
+                cuts.append((m.start(), int(m.group(1))))
+            elif int(m.group(2)) == self.last + 1 and (m.start() == 0 or text[: m.start()].rstrip().endswith(".")):
+                self.last += 1
+                cuts.append((m.start(), self.last))
+        head = text[: cuts[0][0]] if cuts else text
+        if head.strip():
+            self._go_on(head.strip())
+        for (at, n), end in zip(cuts, [c[0] for c in cuts[1:]] + [len(text)]):
+            raw = text[at:end].strip()
+            if len(raw) >= MIN_ENTRY:
+                self.entries.append([n, raw])
+
+    def _go_on(self, text: str) -> None:
+        if self.entries:
+            self.entries[-1][1] += " " + text
+        else:
+            self.leading = f"{self.leading} {text}".strip()
+
+    def finish(self, first: bool) -> list[tuple[int, int | None, str]]:
+        """(place, number, raw); place 0 goes on with the entry before this part of the list."""
+        if not self.entries:
+            parts: list[str] = []
+            for text in self.rows:
+                if parts and not (_opens(text, 0) and _YEAR.search(text)):
+                    parts[-1] += " " + text
+                elif len(text) >= MIN_ENTRY:
+                    parts.append(text)
+            return [(k, None, raw) for k, raw in enumerate(dict.fromkeys(parts), 1)]
+        out = list(dict.fromkeys((n, raw) for n, raw in self.entries))
+        if self.leading and first:
+            out.insert(0, (None, self.leading))
+        rows = [(k, n, raw) for k, (n, raw) in enumerate(out, 1)]
+        return [(0, None, self.leading), *rows] if self.leading and not first else rows
 
 
 def split_rows(texts: list[str], last: int = 0) -> list[tuple[int | None, str]]:
     """(number, raw) of the entries in the rows of one reference list; ``last``: the dotted number before it."""
-    texts = [t.strip() for t in texts if t and t.strip()]
-    entries: list[list] = []
+    folder = EntryFolder(last)
     for text in texts:
-        marks = entry_starts(text, last)
-        if not marks:
-            if entries:
-                entries[-1][1] += " " + text
-            else:
-                entries.append([None, text])
-            continue
-        ends = [m[0] for m in marks[1:]] + [len(text)]
-        for (at, n, running), end in zip(marks, ends):
-            raw = text[at:end].strip()
-            if len(raw) >= MIN_ENTRY:
-                entries.append([n, raw])
-                last = n if running else last
-    unique = {(n, raw[:40]): (n, raw) for n, raw in reversed(entries)}
-    out = [unique.pop(k) for n, raw in entries if (k := (n, raw[:40])) in unique]
-    if out and all(n is None for n, _ in out):
-        rows: list[list] = []
-        for text in texts:
-            if len(text) < MIN_ENTRY:
-                continue
-            if rows and not _DATED.match(text):
-                rows[-1][1] += " " + text
-            else:
-                rows.append([None, text])
-        out = [(n, raw) for n, raw in rows]
-    return out
+        folder.add(text)
+    return [(n, raw) for _, n, raw in folder.finish(True)]
 
 
-#: Pages of a reference list that are split together.
-LIST_PAGES = 64
+_SPLIT = pa.schema([("paper_id", pa.string()), ("chunk", pa.int32()), ("k", pa.int32()), ("n", pa.int32()), ("raw", pa.string())])
 
 
 def split_entries(rows: DataFrame) -> DataFrame:
     """(paper_id, pos, n, raw): the entries of each paper's reference rows.
 
-    The counter of dotted numbers runs on from row to row, so a list is split in order, in
-    groups of LIST_PAGES pages; a group after the first takes up the count where its first
-    numbered row stands. Positions run over the whole paper.
+    A list is split in order, in parts of LIST_PAGES pages; a part after the first takes up
+    the count where its first numbered row stands, and what it begins with before any entry
+    goes on with the last entry of the part before. Tasks fold their sorted parts in one
+    stream. Positions run over the whole paper.
     """
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["seq", "sub"])
-        texts = pdf["content"].tolist()
-        first = next((m for t in texts if (m := _OPEN.match(t or ""))), None)
-        start = int(first.group(2) or first.group(3) or 1) - 1 if first and pdf["chunk"].iloc[0] > 0 else 0
-        found = split_rows(texts, start)
-        return pd.DataFrame(
-            {"paper_id": pdf["paper_id"].iloc[0], "chunk": pdf["chunk"].iloc[0], "k": range(1, len(found) + 1),
-             "n": pd.array([n for n, _ in found], dtype="Int32"), "raw": [r for _, r in found]}
-        )
+    def fold(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, folder = None, None
+        out: list[tuple] = []
+
+        def close() -> None:
+            if folder is not None:
+                out.extend((*part, *row) for row in folder.finish(part[1] == 0))
+
+        for b in it:
+            for paper, chunk, content in zip(*(b.column(k).to_pylist() for k in (0, 1, 4))):
+                if part != (paper, chunk):
+                    close()
+                    part, folder = (paper, chunk), EntryFolder()
+                if chunk > 0 and not folder.entries and (m := _MARK.match((content or "").strip())) and m.group(2) and _opens(content.strip(), m.end()):
+                    folder.last = int(m.group(2)) - 1
+                folder.add(content)
+            yield _split_batch(out)
+            out.clear()
+        close()
+        yield _split_batch(out)
 
     chunk = F.floor(F.col("page_idx") / LIST_PAGES).cast("int").alias("chunk")
     refs = rows.where((F.col("kind") == "reference") & F.col("paper_id").isNotNull()).select("paper_id", chunk, "seq", "sub", "content")
-    parts = refs.groupBy("paper_id", "chunk").applyInPandas(run, "paper_id string, chunk int, k int, n int, raw string")
+    ordered = refs.repartition("paper_id", "chunk").sortWithinPartitions("paper_id", "chunk", "seq", "sub")
+    parts = ordered.transform(in_arrow, fold, "paper_id string, chunk int, k int, n int, raw string")
+    # only lists of several parts need the places of the parts before
     w = Window.partitionBy("paper_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    before = parts.groupBy("paper_id", "chunk").agg(F.count("*").alias("c")).select("paper_id", "chunk", F.coalesce(F.sum("c").over(w), F.lit(0)).alias("before"))
-    return parts.join(before, ["paper_id", "chunk"]).select("paper_id", (F.col("before") + F.col("k")).cast("int").alias("pos"), "n", "raw")
+    parts = cut_lineage(parts)
+    sizes = parts.groupBy("paper_id", "chunk").agg(F.max("k").alias("c"))
+    before = sizes.select("paper_id", "chunk", F.coalesce(F.sum("c").over(w), F.lit(0)).alias("before")).where("chunk > 0")
+    placed = parts.join(before, ["paper_id", "chunk"], "left").select("paper_id", "chunk", (F.coalesce("before", F.lit(0)) + F.col("k")).cast("int").alias("pos"), "k", "n", "raw")
+    tails = placed.where("k = 0").groupBy("paper_id", "pos").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("chunk", "raw"))), lambda x: x["raw"]), " ").alias("tail"))
+    whole = placed.where("k > 0").join(tails, ["paper_id", "pos"], "left")
+    return whole.select("paper_id", "pos", "n", F.concat_ws(" ", "raw", "tail").alias("raw"))
+
+
+def _split_batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(_SPLIT)], schema=_SPLIT)
 
 
 def bracket_entries(rows: DataFrame) -> DataFrame:

@@ -118,7 +118,7 @@ def page_rectangles(spark: SparkSession, sf_dir: str) -> DataFrame:
 @CORPUS.add("caption_targets")
 def caption_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Free figure captions among text blocks with the image they belong to."""
-    b = table(spark, sf_dir, "blocks", "paper_id", "page_idx", "seq", "type", "text", "image_caption", "chart_caption")
+    b = _blocks(spark, sf_dir)
     kind = F.when(F.col("text").rlike(r"(?i)^Fig(ure|\.)?\s*\d"), "fig_caption").when(F.col("type").isin("image", "chart"), "image").otherwise(F.col("type"))
     has = (F.size(F.coalesce("image_caption", F.array().cast("array<string>"))) + F.size(F.coalesce("chart_caption", F.array().cast("array<string>")))) > 0
     return BL.bind_captions(b.select("paper_id", "page_idx", "seq", kind.alias("type"), has.alias("has_caption")))
@@ -279,12 +279,17 @@ def heading_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return HD.add_numbers(HD.levels(_rows(spark, sf_dir)))
 
 
+_LOWC = "trim(regexp_replace(lower(content), '\\s+', ' ', 'g'))"
+_HEADING_NOISE = f"""(coalesce(regexp_extract({_LOWC}, '^([a-z]+)', 1) in {_sql_list(T.HEADING_LABELS)}, false)
+  or (regexp_matches({_LOWC}, '^\\d') and (contains({_LOWC}, 'permissions') or contains({_LOWC}, 'terms of service') or contains({_LOWC}, 'view the article')))
+  or regexp_matches(trim(content), '^[A-Z][a-z]+ \\d+ ?\\('))"""
+
+
 @CORPUS.add(
     "heading_classes",
     f"""with {_IR}, {_P}, l as (select paper_id, seq, kind, content, lag(kind) over (partition by paper_id order by seq, sub) as prev_kind from ir where kind <> 'page_anchor'),
     q as (select l.*, {_norm('content')} as hn, {_norm('p.title')} as tn, row_number() over (partition by l.paper_id order by seq) as nth from l left join p using (paper_id) where kind = 'heading')
-    select paper_id, seq, content, case when regexp_matches(content, '(?i)^(insights|perspectives|review|reviews|article|communication|editorial|letter|perspective)\\b') or regexp_matches(content, '(?i)^(lithium|sodium|potassium|battery|batteries|chemistry|physics|materials?)\\s+(batteries|reviews?|insights?)$')
-      or regexp_matches(content, '(?i)^\\d+\\s+\\w.*\\b(permissions|terms of service|view the article)\\b') or regexp_matches(content, '(?i)^Science\\s+\\d+\\s*\\(') then 'noise'
+    select paper_id, seq, content, case when {_HEADING_NOISE} then 'noise'
       when coalesce(hn = tn, false) and nth > 1 then 'title again' when regexp_matches(content, '(?i)^(fig(ure)?\\.?|table|scheme)\\s*\\d') then 'caption'
       when nth = 2 and not ({_PREFIX} or hn in {_sql_list(T.SECTION_WORDS)}) and prev_kind = 'heading' then 'subtitle' else 'section' end as class from q""",
 )
@@ -483,7 +488,15 @@ def fallback_abstracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return MD.fallback_abstract(_rows(spark, sf_dir))
 
 
-@CORPUS.add("reference_years")
+_YEARS = """x as (select ref_id, raw, unnest(regexp_extract_all(raw, '{c}', 1)) as ld, unnest(regexp_extract_all(raw, '{c}', 2)) as yr, unnest(regexp_extract_all(raw, '{c}', 3)) as tl, generate_subscripts(regexp_extract_all(raw, '{c}', 1), 1) as k from refs),
+y as (select *, regexp_extract(lower(ld), '(?s).*(©|\\(c\\)|copyright|published|accepted|received)', 1) as word,
+  (regexp_matches(lower(ld), '\\d[\\s,]*\\($') and tl like ')%') or (regexp_matches(ld, ',\\s*$') and regexp_matches(tl, '^\\s*,')) or (ld like '%(' and regexp_matches(tl, '^\\)[\\s.;,]*$')) as cited from x),
+z as (select ref_id, k, cast(yr as int) as year, case when word in ('©', '(c)', 'copyright') then 'copyright' when word <> '' then word when cited then 'citation' end as source from y
+  where not regexp_matches(ld, '\\d$') and cast(yr as int) between 1900 and {m}),
+w as (select *, list_position(['citation', 'copyright', 'published', 'accepted', 'received'], source) as rank from z where source is not null)""".replace("{c}", MD.YEAR_CONTEXT).replace("{m}", str(MAX_YEAR))
+
+
+@CORPUS.add("reference_years", f"with {_YEARS}, b as (select * from w qualify row_number() over (partition by ref_id order by rank, k) = 1) select r.ref_id, b.year, b.source from refs r left join b using (ref_id)")
 def reference_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Year and its source of every raw entry by the arbitration of publication years."""
     y = MD.publication_year(F.col("raw"), MAX_YEAR)
@@ -617,7 +630,15 @@ def misplaced_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QL.references_misplaced(_rows(spark, sf_dir))
 
 
-@CORPUS.add("own_mentions")
+_OWN = f"regexp_replace(regexp_replace(text, '{QL.OUTER_BEFORE}', ' ', 'g'), '{QL.OUTER_AFTER}', ' ', 'g')"
+_NUMBERS = "array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all({o}, '{p}', 1), lambda n: cast(n as int)))), ',')"
+
+
+@CORPUS.add(
+    "own_mentions",
+    f"""select block_id, {_NUMBERS.format(o=_OWN, p=r'\bFig(?:ure)?\.?\s*(\d{1,9})')} as figures, {_NUMBERS.format(o=_OWN, p=r'\bTable\s*(\d{1,9})')} as tables
+    from blocks where regexp_matches(text, '\\b(Fig|Table)')""",
+)
 def own_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Figures and tables that each block mentions as its paper's own."""
     m = QL.mentions(table(spark, sf_dir, "blocks", "block_id", "text"), "block_id", "text")

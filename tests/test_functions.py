@@ -108,9 +108,68 @@ def test_degenerate_loops(spark):
     assert {0, 1} <= set(got) and 3 not in got and got[0].repeats >= 10
 
 
-def test_own_mentions():
-    assert Q.own_mentions("Ref. [55], whose Table 2 or Table 3 list it") == {"figures": [], "tables": []}
-    assert Q.own_mentions("Table 2 shows the results; Fig. 4 plots them.") == {"figures": [4], "tables": [2]}
+@pytest.mark.parametrize(
+    ("text", "figures", "tables"),
+    [
+        ("Ref. [55], whose Table 2 or Table 3 list it", [], []), ("Table 2 shows the results; Fig. 4 plots them.", [4], [2]),
+        ("Fig. 3 of Ref. [5] and Fig. 7 differ; Figure 8 does not.", [8], []), ("see Fig. 3 in [12]. Table 1", [], [1]),
+        ("whose Table 2 gives all of the long list of values or Table 3", [], []), ("Refs. [1, 2]: Fig. 9", [], []), ("Fig. 2, Fig. 2", [2], []),
+    ],
+)
+def test_own_mentions(spark, text, figures, tables):
+    r = Q.mentions(spark.createDataFrame([(1, text)], "i int, t string"), "i", "t").first()
+    assert (list(r.figures), list(r.tables)) == (figures, tables)
+
+
+@pytest.mark.parametrize(
+    ("bad", "good"),
+    [
+        ("$O_{2$'}$", "$O_{2'}$"), ("$x_{(O-Na-O$)}$", "$x_{(O-Na-O)}$"), ("$g^{-1$}$", "$g^{-1}$"), (r"$x_{3+$\delta}$", r"$x_{3+\delta}$"),
+        ("$x_{2$/3}$", "$x_{2/3}$"), ("{(1-x$)$}", "{(1-x)}"), ("$Li_{0$.75}$", "$Li_{0.75}$"), ("{0$.5-$x}", "{0.5-x}"), ("$Na_{2}/3}$", "$Na_{2/3}$"),
+        ("$Na}^+$", "$Na^+$"), (r"\mathrm{$Na}", r"\mathrm{Na}"), (r"\text{$x$}", r"\text{$x$}"), ("costs {$5} or $x$", "costs {$5} or $x$"), ("$$a{b$$", "$$a{b}$$"),
+        (r"a \$5 {b}", r"a \$5 {b}"), ("$a_{b$ c", "$a_{b}$ c"), ("", ""), ("$", "$"), ("{{{$", "{{{$"),
+    ],
+)
+def test_scripts_are_repaired(bad, good):
+    assert L.repair_scripts(bad) == good and L.repair_scripts(good) == good
+
+
+def test_entries_that_begin_alike_are_kept():
+    long = "[1] Aaron B. Author, Carla D. Author, Emma F. Author, "
+    assert len(RF.split_rows([long + "First work, 2001.", long + "Second work, 2002."])) == 2
+    assert len(RF.split_rows([long + "First work, 2001."] * 2)) == 1
+
+
+def test_lists_in_parts_go_on(spark):
+    rows = [("p", 63, 1, 0, "reference", "1. Aa B. One,"), ("p", 64, 2, 0, "reference", "and the rest, 2001."), ("p", 64, 3, 0, "reference", "2. Cc D. Two."), ("p", 128, 4, 0, "reference", "3. Ee F. Three."), ("p", 128, 5, 0, "paragraph", "4. Gg")]
+    df = spark.createDataFrame(rows, "paper_id string, page_idx int, seq bigint, sub int, kind string, content string")
+    got = sorted((r.pos, r.n, r.raw) for r in RF.split_entries(df).collect())
+    assert got == [(1, 1, "1. Aa B. One, and the rest, 2001."), (2, 2, "2. Cc D. Two."), (3, 3, "3. Ee F. Three.")]
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("J. Phys. 12 (2003) 45", (2003, "citation")), ("Nature, 1999, 4", (1999, "citation")), ("Vol. 3 (2007).", (2007, "citation")), ("\u00a9 2011 The Authors", (2011, "copyright")),
+        ("Received 3 May 2009; accepted 2 July 2010", (2010, "accepted")), ("Published online 2015. Accepted 2014", (2015, "published")), ("in 2004 we", None), ("(c) 3099", None), (None, None),
+        ("Received 2001, J. X 4 (2002) 7", (2002, "citation")),
+    ],
+)
+def test_publication_years(spark, text, want):
+    got = spark.createDataFrame([(text,)], "t string").select(MD.publication_year(F.col("t"), 2027).alias("y")).first().y
+    assert (tuple(got) if got else None) == want
+
+
+@pytest.mark.parametrize(
+    ("text", "noise"),
+    [
+        ("https://doi.org/10.1/x", True), ("Article https://doi.org/10.1/x", True), ("https://doi.org/10.1/x Received 3 May", True), ("www.site.org", True), ("10.1234/abc", True),
+        ("Received: 3 May 2009", True), ("Published online 3 May", True), ("RECEIVED in May", True), ("\u00a9 The Authors", True), ("Download PDF", True), ("Table 3 Values (continued)", True),
+        ("Licensed under Creative Commons", True), ("See https://doi.org/10.1/x for all", False), ("Received wisdom says", False), ("Sharing is good", False), ("", False), (None, False),
+    ],
+)
+def test_publisher_noise(spark, text, noise):
+    assert spark.createDataFrame([(text,)], "t string").select(T.publisher_noise(F.col("t"))).first()[0] is noise
 
 
 def test_slug(spark):
