@@ -62,7 +62,16 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.leaked(docs, table(spark, sf_dir, "eval_items", "item_id", "text"))
 
 
-@LLM.add("p2_found")
+_P2_SQL = r"""with t as (select block_id, regexp_extract_all(regexp_replace(text, '([㐀-䶿一-鿿豈-﫿])', ' \1 ', 'g'), '[\p{L}\p{No}\p{Nl}]+|\p{Nd}+(?:[.,]\p{Nd}+)*') as words from blocks),
+u as (select block_id, generate_subscripts(words, 1) as i, unnest(words) as raw from t where len(words) >= 20),
+w as (select block_id, i, case when regexp_matches(raw, '^\p{Nd}') then '0' else lower(raw) end as w from u),
+g as (select *, lead(w, 1) over p as w1, lead(w, 2) over p as w2, lead(w, 3) over p as w3 from w window p as (partition by block_id order by i)),
+h as (select *, case when w3 is not null and row_number() over (partition by block_id, w, w1, w2, w3 order by i) > 1 then 1 else 0 end as again from g),
+c as (select block_id, max(again) over (partition by block_id order by i rows between 3 preceding and current row) as repeated from h)
+select block_id from c group by 1 having sum(repeated) >= 0.4 * count(*)"""
+
+
+@LLM.add("p2_found", _P2_SQL)
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocks that repeat at least two fifths of their words."""
     blocks = table(spark, sf_dir, "blocks", "block_id", "text")
@@ -81,17 +90,28 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return markup.found(table(spark, sf_dir, "blocks", "block_id", "paper_id", "text", "table_body"))
 
 
+def _sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "papers", "paper_id", F.col("container_title").alias("site"))
+
+
 @LLM.add("p4_clean")
 def p4_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fields of every block as clean text."""
-    return markup.clean(table(spark, sf_dir, "blocks", "block_id", "paper_id", "text", "table_body"))
+    return markup.clean(table(spark, sf_dir, "blocks", "block_id", "paper_id", "text", "table_body"), _sites(spark, sf_dir))
 
 
 @LLM.add("p4_style_tree")
 def p4_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Importance of every style node of every paper."""
+    """Importance of every style node of every journal."""
+    nodes = markup.presentation_nodes(table(spark, sf_dir, "blocks", "block_id", "paper_id", "text", "table_body"))
+    return markup.style_tree(cut_lineage(markup.on_sites(nodes, _sites(spark, sf_dir))))
+
+
+@LLM.add("p4_removed")
+def p4_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Branches that the style tree removes."""
     nodes = markup.presentation_nodes(table(spark, sf_dir, "blocks", "block_id", "paper_id", "text", "table_body"))
-    return markup.style_tree(cut_lineage(nodes))
+    return markup.low_branches(cut_lineage(markup.on_sites(nodes, _sites(spark, sf_dir))))
 
 
 def _name_strings(spark: SparkSession, sf_dir: str) -> DataFrame:

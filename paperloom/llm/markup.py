@@ -1,9 +1,9 @@
-"""Markup residue: a site style tree over the blocks of a paper, and clean text.
+"""Markup residue: a site style tree over the blocks of a journal, and clean text.
 
 A block's field is parsed into a small DOM. Its presentation nodes carry the kind of
 markup they are written in (html, markdown, wiki, latex), a style (name and class)
-and the path from the root. The DOMs of one host (the paper) are merged in a style
-tree: all nodes of one path are one style node with its presentation variants and its
+and the path from the root. The DOMs of one host (the journal that a paper came from, else
+the paper) are merged in a style tree: all nodes of one path are one style node with its presentation variants and its
 contents. Importance is entropy-based:
 
 presentation  -sum p log_m p over the style variants under a node, m pages; 1 if m = 1
@@ -44,7 +44,7 @@ HTML_TAGS = (
 ).split()
 _TAG = r"<(?P<close>/?)(?P<tag>" + "|".join(sorted(HTML_TAGS, key=len, reverse=True)) + r")(?P<attrs>(?:\s[^<>]*)?)/?>"
 _ENTITY = r"&(?:[A-Za-z][A-Za-z0-9]{1,30}|#\d{1,7}|#[xX][0-9A-Fa-f]{1,6});"
-_ESCAPED = re.compile(r"&lt;\s*/?\s*(?:" + "|".join(HTML_TAGS) + r")\b", re.I)
+_ESCAPED = re.compile(r"&(?:amp;)*lt;\s*/?\s*(?:" + "|".join(HTML_TAGS) + r")\b", re.I)
 
 #: (kind, name, pattern); the first that matches at a position is the node there.
 _RULES: list[tuple[str, str, str]] = [
@@ -56,9 +56,9 @@ _RULES: list[tuple[str, str, str]] = [
     ("latex", "display", r"\$\$(?s:.+?)\$\$"),
     ("latex", "environment", r"\\begin\{(?P<env>[a-zA-Z]+\*?)\}(?s:.*?)(?:\\end\{(?P=env)\}|\Z)"),
     ("latex", "bracket", r"\\\[(?s:.+?)\\\]|\\\((?s:.+?)\\\)"),
-    ("latex", "inline", r"(?<![\\$\w])\$(?=[^\s$])[^$\n]*[^\s$\\]\$(?![\d$])|(?<![\\$\w])\$[^\s$]\$(?![\d$])|\$\^\{?[^$\n]{1,40}\$"),
+    ("latex", "inline", r"(?<![\\$\w])\$(?=[^\s$])[^$\n]*[^\s$\\]\$(?![\d$])|(?<![\\$\w])\$[^\s$]\$(?![\d$])|\$\^\{?[^$\n]+\$"),
     ("latex", "command", r"~?\\(?:[a-zA-Z]{2,}\*?|[a-zA-Z](?=\{))(?:\[[^\]\n]*\])*(?:\{(?:[^{}]|\{[^{}]*\})*\})*|\\[%&_#{},;$](?=\S|\s)|\\\\(?=\s)"),
-    ("latex", "script", r"(?<=[\w)])[_^]\{[^{}\n]{1,60}\}"),
+    ("latex", "script", r"(?<=[\w)])[_^]\{[^{}\n]+\}"),
     ("wiki", "table", r"(?m:^[ ]*\{\|)(?s:.*?)(?:\|\}|\Z)"),
     ("wiki", "template", r"(?<![\w{^_])\{\{\s*[A-Za-z#!:][^{}]*\}\}"),
     ("wiki", "link", r"\[\[\s*:?[^\W\d][^\[\]\n]*\]\]|\[\[[^\[\]\n|]*\|[^\[\]\n]*\]\]"),
@@ -98,11 +98,20 @@ class Node:
         self.number, self.path = 0, ""
 
 
-def parse(text: str | None, depth: int = 0) -> Node:
-    """The DOM of a field; its nodes are numbered in document order."""
+def parse(text: str | None) -> Node:
+    """The DOM of a field, whatever its depth; its nodes are numbered in document order."""
     root = Node("", "root")
-    stack = [root]
-    text = text or ""
+    todo = [(root, text or "")]
+    while todo:
+        node, inner = todo.pop()
+        _fill(node, inner, todo)
+    _number(root)
+    return root
+
+
+def _fill(top: Node, text: str, todo: list[tuple[Node, str]]) -> None:
+    """Appends the nodes of ``text`` to ``top``; what stands inside marks goes to ``todo``."""
+    stack = [top]
 
     def put(node: Node) -> None:
         stack[-1].children.append(node)
@@ -133,16 +142,13 @@ def parse(text: str | None, depth: int = 0) -> Node:
             put(Node("", "text", body))
         else:
             node = Node(kind, name, body, f"{kind}:{name}")
-            if name in _INNER and depth < 4:
-                node.children = parse(_inside(name, body), depth + 1).children
-            elif (kind, name) == ("wiki", "table") and depth < 4:
-                node.children = parse(re.sub(r"^\s*\{\||\|\}\s*$", "", body), depth + 1).children
+            if name in _INNER:
+                todo.append((node, _inside(name, body)))
+            elif (kind, name) == ("wiki", "table"):
+                todo.append((node, re.sub(r"^\s*\{\||\|\}\s*$", "", body)))
             put(node)
     if at < len(text):
         put(Node("", "text", text[at:]))
-    if depth == 0:
-        _number(root)
-    return root
 
 
 def _inside(name: str, body: str) -> str:
@@ -163,7 +169,8 @@ def _number(root: Node) -> None:
         node = todo.pop()
         node.number, n = n, n + 1
         for c in node.children:
-            c.path = f"{node.path}/{c.style or c.name}" if len(node.path) < 400 else node.path
+            above = node.path if len(node.path) < 400 else f"/#{_hash(node.path)}"  # long paths by their hash
+            c.path = f"{above}/{c.style or c.name}"
         todo.extend(reversed(node.children))
 
 
@@ -183,15 +190,18 @@ def kinds(text: str | None) -> set[str]:
 _BLOCK = {"p", "div", "section", "article", "ul", "ol", "table", "blockquote", "figure", "header", "footer", "tr", "br", "dl", "dt", "dd", "caption"}
 
 
+def unescaped(text: str) -> str:
+    """A text whose escaped markup is markup, however often it was escaped."""
+    while _ESCAPED.search(text) and (plain := html.unescape(text)) != text:
+        text = plain
+    return text
+
+
 def render(text: str | None, removed: frozenset[int] = frozenset()) -> str | None:
     """Clean text of a field without the branches whose numbers are in ``removed``."""
     if text is None:
         return None
-    for _ in range(3):  # escaped markup is markup
-        if not _ESCAPED.search(text):
-            break
-        text, removed = html.unescape(text), frozenset()
-    root = parse(text)
+    root = parse(unescaped(text))
     done: dict[int, str] = {}
     for n in reversed(list(walk(root))):
         done[id(n)] = _render(n, "".join(done.pop(id(c)) for c in n.children), removed)
@@ -240,7 +250,7 @@ def _latex(node: Node) -> str:
 def _render(node: Node, inner: str, removed: frozenset[int]) -> str:
     """Text of a node whose children came out as ``inner``."""
     if node.number in removed and node.number:
-        return ""
+        return " "
     k, n, body = node.kind, node.name, node.text
     if not k:
         return body
@@ -248,7 +258,7 @@ def _render(node: Node, inner: str, removed: frozenset[int]) -> str:
         if n == "entity":
             return html.unescape(body)
         if n in ("comment", "script", "style", "head"):
-            return ""
+            return " " if n == "comment" else ""
         if re.fullmatch(r"h[1-6]", n):
             return f"\n{'#' * int(n[1])} {inner.strip()}\n"
         if n == "li":
@@ -310,7 +320,7 @@ def _contents(nodes: list[Node]) -> dict[int, int]:
 
 def _nodes(ids: list, hosts: list, fields: list, texts: list) -> Iterator[tuple]:
     for i, host, field, text in zip(ids, hosts, fields, texts):
-        nodes = list(walk(parse(text)))
+        nodes = list(walk(parse(unescaped(text))))
         if not any(n.kind for n in nodes):
             continue
         content = _contents(nodes)
@@ -372,13 +382,34 @@ def style_tree(nodes: DataFrame) -> DataFrame:
     )
 
 
-def clean(blocks: DataFrame) -> DataFrame:
-    """(block_id, field, clean): the fields as clean text without low-importance branches."""
-    nodes = cut_lineage(presentation_nodes(blocks))  # parsed once, aggregated several times
+#: Nodes that give a text its structure; the branches that may go are all others of HTML, Markdown and wiki links.
+STRUCTURE = (
+    "h1 h2 h3 h4 h5 h6 p br hr ul ol li dl dt dd table thead tbody tfoot tr td th caption col colgroup sup sub code pre kbd samp tt math entity comment b i em strong u s "
+    "blockquote q cite html body article section main figure figcaption"
+).split()
+
+
+def on_sites(nodes: DataFrame, sites: DataFrame | None) -> DataFrame:
+    """Nodes with the site of their paper as host; ``sites``: (paper_id, site). Papers without a site keep their own tree."""
+    if sites is None:
+        return nodes
+    known = sites.where(F.nullif(F.trim("site"), F.lit("")).isNotNull()).groupBy("paper_id").agg(F.min("site").alias("site"))
+    return nodes.join(known.withColumnRenamed("paper_id", "host"), "host", "left").withColumn("host", F.coalesce("site", "host")).drop("site")
+
+
+def low_branches(nodes: DataFrame) -> DataFrame:
+    """(block_id, field, node): the branches of low importance that are no structure."""
     low = style_tree(nodes).where((F.col("importance") < LOW) & (F.col("pages") >= MIN_PAGES)).select("host", "path")
-    # structure that a paper always writes alike is no furniture: only containers and links can go
-    removable = nodes.where((F.col("kind") == "html") & F.col("path").rlike(r"/(nav|footer|header|aside|div[.]|a|img|span[.])[^/]*$"))
-    gone = removable.join(low, ["host", "path"], "left_semi").groupBy("block_id", "field").agg(F.collect_set("node").alias("gone"))
+    name = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"[.].*$", "")
+    link = F.col("path").rlike(r"/(markdown|wiki):(image|link|external)$")
+    removable = nodes.where(((F.col("kind") == "html") & ~name.isin(*STRUCTURE)) | link)
+    return removable.join(low, ["host", "path"], "left_semi").select("block_id", "field", "node")
+
+
+def clean(blocks: DataFrame, sites: DataFrame | None = None) -> DataFrame:
+    """(block_id, field, clean): the fields as clean text without low-importance branches; ``sites``: see ``on_sites``."""
+    nodes = cut_lineage(on_sites(presentation_nodes(blocks), sites))  # parsed once, aggregated several times
+    gone = low_branches(nodes).groupBy("block_id", "field").agg(F.collect_set("node").alias("gone"))
     fields = fields_of(blocks).join(gone, ["block_id", "field"], "left")
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

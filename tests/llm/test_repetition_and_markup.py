@@ -139,3 +139,35 @@ def test_shares_are_exact_beside_the_content_share(spark):
     df = spark.createDataFrame([(1, "one two three four five one two three four six seven eight")], "block_id bigint, text string")
     row = repetition.shares(df).first()
     assert row.words == 12 and row.repeated_share == 4 / 12
+
+
+def test_marks_nest_to_any_depth_and_length():
+    text = "**__~~*'''a [b](y.org/z) c'''*~~__**"
+    assert markup.kinds(text) == {"markdown", "wiki"} and markup.render(text).replace("\n", " ").split() == ["a", "b", "c"]
+    assert markup.kinds("x_{" + "a" * 500 + "}") == {"latex"} and markup.kinds("$^{" + "b " * 80 + "}$") == {"latex"}
+    deep = "<div>" * 300 + "x" + "</div>" * 300
+    assert len({n.path for n in markup.walk(markup.parse(deep)) if n.kind}) == 300
+    escaped = "<b>x</b>"
+    for _ in range(6):
+        escaped = escaped.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
+    assert markup.render(escaped) == "x"
+
+
+def test_the_style_tree_of_a_site_removes_what_all_its_papers_repeat(spark):
+    bar = '<div class="bar">Home | Search</div>'
+    rows = [(k, f"p{k}", f"{bar}<p>Text number {k} of its own.</p><table><tr><th>Sample</th></tr></table>", None) for k in range(8)]
+    rows.append((99, "p99", f"{bar}<p>Alone.</p>", None))
+    df = spark.createDataFrame(rows, "block_id bigint, paper_id string, text string, table_body string")
+    sites = spark.createDataFrame([(f"p{k}", "Journal of Tests") for k in range(8)] + [("p99", ""), (None, "x")], "paper_id string, site string")
+    clean = lambda s: {r.block_id: r.clean for r in markup.clean(df, s).collect()}
+    with_site, alone = clean(sites), clean(None)
+    assert all("Search" not in with_site[k] and f"Text number {k}" in with_site[k] and "Sample" in with_site[k] for k in range(8))
+    assert "Search" in with_site[99] and all("Search" in t for t in alone.values())
+
+
+def test_statements_give_what_the_queries_give(spark, medium):
+    from paperloom.llm.catalog import LLM
+    from tests.oracle_check import connect, same
+
+    con = connect(medium)
+    assert LLM.sql and all(same(LLM.queries[n](spark, medium), con, sql) for n, sql in LLM.sql.items())
