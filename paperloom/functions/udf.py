@@ -28,3 +28,19 @@ def text_udf(rule: Callable[[str], object], returns: str = "string") -> Callable
         return apply(col)
 
     return on_column
+
+
+def rule_udf(rule: Callable, returns: str) -> Callable[..., Column]:
+    """A vectorised column function of several columns, each row's values given to ``rule``; nulls come as None."""
+
+    def on_columns(*cols: Column) -> Column:
+        if (spark := SparkSession.getActiveSession()) is not None:
+            ship_package(spark)
+
+        @F.pandas_udf(returns)
+        def apply(*values: pd.Series) -> pd.Series:
+            return pd.Series([rule(*row) for row in zip(*values)], dtype=object)
+
+        return apply(*cols)
+
+    return on_columns
