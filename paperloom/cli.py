@@ -13,9 +13,8 @@ import time
 from pyspark.sql import functions as F
 
 from paperloom.operators import metadata as MD
-from paperloom.operators import render as RD
 from paperloom.operators import xmldoc as XD
-from paperloom.plans.pipeline import convert
+from paperloom.plans.pipeline import write_corpus
 from paperloom.session import get_spark, table
 from paperloom.settings import Settings
 from paperloom.sources.staging import read_xml
@@ -54,8 +53,8 @@ def main(argv: list[str] | None = None) -> int:
         blocks, papers = table(spark, a.target, "blocks"), MD.latest(table(spark, a.target, "papers"))
         if a.limit:
             some = papers.select("paper_id").orderBy("paper_id").limit(a.limit)
-            blocks = blocks.join(some, "paper_id", "left_semi")
-        RD.write_documents(convert(blocks, papers, s), RD.front_matter(papers), f"{a.output_dir}/documents")
+            blocks, papers = blocks.join(some, "paper_id", "left_semi"), papers.join(some, "paper_id", "left_semi")
+        write_corpus(blocks, papers, a.output_dir, s)
     say("done", percent=100, seconds=round(time.time() - began, 1))
     return 0
 

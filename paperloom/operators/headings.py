@@ -18,13 +18,32 @@ _LETTER_LEAD = r"^[A-Z]\.\s+\S"
 _PAREN_LEAD = r"^[（(]\d+[）)]\.?\s+\S"
 
 
+#: Places of a paper that are looked at together; a window over rows never holds more.
+SEQ_BUCKET = 1_000
+
+
+def beside(rows: DataFrame, col: str, before: str, after: str) -> DataFrame:
+    """``rows`` with the value of ``col`` in the row before and after, in reading order of the paper.
+
+    Windows hold SEQ_BUCKET places; what stands at the borders of the buckets comes from a
+    window over one row a bucket, so that a paper with any share of the rows is spread.
+    """
+    b = rows.withColumn("_bucket", F.floor(F.col("seq") / SEQ_BUCKET))
+    own = Window.partitionBy("paper_id", "_bucket").orderBy("seq", "sub")
+    ends = b.groupBy("paper_id", "_bucket").agg(
+        F.min(F.struct("seq", "sub", F.col(col).alias("v"))).alias("lo"), F.max(F.struct("seq", "sub", F.col(col).alias("v"))).alias("hi")
+    )
+    over = Window.partitionBy("paper_id").orderBy("_bucket")
+    borders = ends.select(F.col("paper_id").alias("_p"), F.col("_bucket").alias("_b"), F.lag("hi.v").over(over).alias("_before"), F.lead("lo.v").over(over).alias("_after"))
+    joined = b.join(borders, b["paper_id"].eqNullSafe(borders["_p"]) & (b["_bucket"] == borders["_b"]))
+    first, last = F.row_number().over(own) == 1, F.lead(F.lit(1)).over(own).isNull()
+    out = joined.withColumn(before, F.when(first, F.col("_before")).otherwise(F.lag(col).over(own)))
+    return out.withColumn(after, F.when(last, F.col("_after")).otherwise(F.lead(col).over(own))).drop("_bucket", "_p", "_b", "_before", "_after")
+
+
 def classify(rows: DataFrame, papers: DataFrame) -> DataFrame:
     """(paper_id, seq, content, class): noise, title again, caption, subtitle or section."""
-    w = Window.partitionBy("paper_id").orderBy("seq", "sub")
-    looked = rows.where(F.col("kind") != "page_anchor").select(
-        "paper_id", "seq", "kind", "content",
-        F.lead("kind").over(w).alias("next_kind"), F.lag("kind").over(w).alias("prev_kind"),
-    )
+    looked = beside(rows.where(F.col("kind") != "page_anchor").select("paper_id", "seq", "sub", "kind", "content"), "kind", "prev_kind", "next_kind")
     heads = looked.where(F.col("kind") == "heading").join(papers.select("paper_id", "title"), "paper_id", "left")
     h = T.heading_norm(F.col("content"))
     nth = F.row_number().over(Window.partitionBy("paper_id").orderBy("seq"))
@@ -183,10 +202,9 @@ def split_legends(rows: DataFrame) -> DataFrame:
 def stray_paragraphs(rows: DataFrame) -> DataFrame:
     """(paper_id, seq, new_seq): prose between numbered references, to be moved before their heading."""
     ref = rows.where((F.col("kind") == "heading") & T.is_reference_heading(F.col("content"))).groupBy("paper_id").agg(F.min("seq").alias("ref_seq"))
-    w = Window.partitionBy("paper_id").orderBy("seq", "sub")
     num = F.col("content").rlike(r"^\s*(\[\d{1,4}\]|\d{1,4}[.)]\s)")
     late = rows.where(F.col("kind") != "page_anchor").join(ref, "paper_id").where(F.col("seq") > F.col("ref_seq"))
-    around = late.withColumn("is_num", num).withColumn("before", F.lag("is_num").over(w)).withColumn("after", F.lead("is_num").over(w))
+    around = beside(late.withColumn("is_num", num), "is_num", "before", "after")
     words = F.size(F.split(F.trim("content"), r"\s+"))
     stray = ~F.col("is_num") & F.col("after") & (F.coalesce("before", F.lit(True))) & (F.length("content") >= 100) & (words >= 10)
     return around.where(stray).select("paper_id", "seq", (F.col("ref_seq") - 0.5).alias("new_seq"))

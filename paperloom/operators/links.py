@@ -41,10 +41,14 @@ def anchors(rows: DataFrame) -> DataFrame:
     return a.where(F.col("anchor").isNotNull()).groupBy("paper_id", "anchor").agg(F.min("seq").alias("seq"))
 
 
-def mentions(rows: DataFrame) -> DataFrame:
-    """(paper_id, seq, sub, category, number): what paragraphs cite: references, figures, tables, equations."""
+def mentions(rows: DataFrame, ranges: bool = False) -> DataFrame:
+    """(paper_id, seq, sub, category, number): what paragraphs cite: references, figures, tables, equations.
+
+    With ``ranges`` the ends of ``[1-3]`` count as cited too.
+    """
     p = rows.where(F.col("kind") == "paragraph").select("paper_id", "seq", "sub", "content")
-    bracket = F.flatten(F.transform(F.regexp_extract_all("content", F.lit(r"\[(\d{1,4}(?:\s*[,;]\s*\d{1,4})*)\]"), 1), lambda s: F.split(s, r"\s*[,;]\s*")))
+    sign = "[,;–-]" if ranges else "[,;]"
+    bracket = F.flatten(F.transform(F.regexp_extract_all("content", F.lit(rf"\[(\d{{1,4}}(?:\s*{sign}\s*\d{{1,4}})*)\]"), 1), lambda s: F.split(s, rf"\s*{sign}\s*")))
     of = lambda p_: F.regexp_extract_all("content", F.lit(p_), 1)
     def tagged(category: str, numbers: Column) -> Column:
         return F.transform(numbers, lambda n: F.struct(F.lit(category).alias("category"), n.alias("number")))
@@ -161,6 +165,50 @@ def inject(text: str, links: list[tuple[int, int, str]]) -> str:
     return text
 
 
+MATH = r"(?s)\$\$.+?\$\$|\$[^$\n]+?\$"
+_LINKABLE = r"\[\d{1,4}(?:\s*[,;–-]\s*\d{1,4})*\]|(?:Figure|Fig\.)\s*\d+|Table\s*\d+|Eq\.\s*\(\d+\)"
+
+
+def with_links(content: Column, known: Column) -> Column:
+    """``content`` with links to the anchors in ``known`` (``ref-1``, ``fig-2``, ...); formulas stay as they are.
+
+    A bracket of several numbers is linked if all of them are known.
+    """
+    pieces, math = F.split(content, MATH), F.regexp_extract_all(content, F.lit(MATH), 0)
+
+    def linked(c: Column) -> Column:
+        numbers = F.regexp_extract_all(c, F.lit(r"(\d+)"), 1)
+        signs = F.regexp_extract_all(c, F.lit(r"\d\s*([,;–-]\s*)(?=\d)"), 1)
+        parts = F.transform(numbers, lambda n: F.concat(F.lit("[["), n, F.lit("]](#ref-"), n, F.lit(")")))
+        bracket = F.array_join(F.zip_with(parts, signs, lambda x, y: F.concat(x, F.coalesce(y, F.lit("")))), "")
+        kind = F.when(c.startswith("Fig"), "fig").when(c.startswith("Tab"), "tab").when(c.startswith("Eq"), "eq")
+        anchor_ = F.concat(kind, F.lit("-"), F.get(numbers, F.lit(0)))
+        refs = F.transform(numbers, lambda n: F.concat(F.lit("ref-"), n))
+        return (
+            F.when(c.startswith("[") & (F.size(F.array_except(refs, known)) == 0), bracket)
+            .when(F.array_contains(known, anchor_), F.concat(F.lit("["), c, F.lit("](#"), anchor_, F.lit(")")))
+            .otherwise(c)
+        )
+
+    def piece(t: Column) -> Column:
+        found, rest = F.regexp_extract_all(t, F.lit(_LINKABLE), 0), F.split(t, _LINKABLE)
+        return F.array_join(F.zip_with(rest, F.transform(found, linked), lambda x, y: F.concat(F.coalesce(x, F.lit("")), F.coalesce(y, F.lit("")))), "")
+
+    return F.array_join(F.zip_with(F.transform(pieces, piece), math, lambda x, y: F.concat(F.coalesce(x, F.lit("")), F.coalesce(y, F.lit("")))), "")
+
+
+def link_rows(rows: DataFrame) -> DataFrame:
+    """``rows`` whose paragraphs link to the rows they cite, where exactly one row has the anchor; cited rows begin with it."""
+    hits = resolve(mentions(rows, ranges=True), targets_of(rows)).where(F.col("target_seq").isNotNull())
+    hits = hits.select("paper_id", "seq", "sub", F.concat_ws("-", "category", "number").alias("anchor"), "target_seq")
+    known = hits.groupBy("paper_id", "seq", "sub").agg(F.collect_set("anchor").alias("known"))
+    marks = hits.groupBy("paper_id", F.col("target_seq").alias("seq")).agg(F.min("anchor").alias("mark"))
+    out = rows.join(known, ["paper_id", "seq", "sub"], "left").join(marks, ["paper_id", "seq"], "left")
+    text = F.when(F.col("known").isNotNull() & (F.col("kind") == "paragraph"), with_links(F.col("content"), F.col("known"))).otherwise(F.col("content"))
+    first = F.col("mark").isNotNull() & (F.col("kind") != "page_anchor") & (F.col("sub") <= 1)
+    return out.withColumn("content", text).withColumn("mark", F.when(first, F.col("mark"))).drop("known")
+
+
 def linked_citations(rows: DataFrame) -> DataFrame:
     """(paper_id, seq, sub, linked): paragraphs with their bracketed citations linked to ``#ref-N``, math untouched."""
     plain = rows.where((F.col("kind") == "paragraph") & F.col("content").rlike(r"\[\d{1,4}\]") & ~F.col("content").contains("$"))

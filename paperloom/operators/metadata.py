@@ -41,18 +41,18 @@ def publication_year(text: Column, max_year: int) -> Column:
     return F.when(best.isNotNull(), F.struct(best["year"].alias("year"), best["source"].alias("source")))
 
 
-def early(blocks: DataFrame) -> DataFrame:
+def early(blocks: DataFrame, pages: int = EARLY_PAGES) -> DataFrame:
     """Blocks of the first pages that are no noise."""
-    return blocks.where((F.coalesce("page_idx", F.lit(0)) <= EARLY_PAGES) & ~F.col("type").isin(*T.NOISE_TYPES))
+    return blocks.where((F.coalesce("page_idx", F.lit(0)) <= pages) & ~F.col("type").isin(*T.NOISE_TYPES))
 
 
-def rule_metadata(blocks: DataFrame, max_year: int) -> DataFrame:
+def rule_metadata(blocks: DataFrame, max_year: int, pages: int = EARLY_PAGES) -> DataFrame:
     """(paper_id, title, doi, abstract, keywords, year): what the early blocks say.
 
     Each field is the first block in reading order that fulfils its rule, taken as a
     minimum over (seq, value); no window and no sort of a paper is needed.
     """
-    e = early(blocks)
+    e = early(blocks, pages)
     text = T.collapse(F.col("text"))
     head = (F.col("type") == "text") & (F.coalesce("text_level", F.lit(0)) == 1) & (F.length(text) > 10)
     first = lambda cond, value: F.min(F.when(cond, F.struct("seq", value.alias("v"))))["v"]
@@ -135,3 +135,13 @@ def latest(papers: DataFrame) -> DataFrame:
     cols = [c for c in papers.columns if c not in ("paper_id", "ingested_at")]
     newest = papers.groupBy("paper_id").agg(F.max(F.struct("ingested_at", *cols)).alias("r"))
     return newest.select("paper_id", *[F.col(f"r.{c}").alias(c) for c in cols], F.col("r.ingested_at").alias("ingested_at"))
+
+
+def completed(papers: DataFrame, rule: DataFrame) -> DataFrame:
+    """Records whose empty title, DOI, abstract, date or keywords come from the paper's own text (``rule_metadata``)."""
+    r = rule.select("paper_id", *[F.col(c).alias(f"_{c}") for c in ("title", "doi", "abstract", "year", "keywords_raw")])
+    out = papers.join(r, "paper_id", "left")
+    for c, own in (("title", "_title"), ("doi", "_doi"), ("abstract", "_abstract"), ("date", "_year")):
+        out = out.withColumn(c, first_filled(F.col(c), F.col(own).cast("string")))
+    none = F.size(F.coalesce("keywords", F.array().cast("array<string>"))) == 0
+    return out.withColumn("keywords", F.when(none, keyword_list(F.col("_keywords_raw"))).otherwise(F.col("keywords"))).select(papers.columns)

@@ -126,7 +126,7 @@ def _field(name: str, column: str) -> str:
 
 
 S["front_matter"] = f"""with {_P}, y as (select paper_id, [{_field('title', 'title')}, case when len(author) > 0 then 'author:' || chr(10) || array_to_string(list_transform(author, lambda a: '  - ' || {_Q.format("coalesce(a.name, '')")}), chr(10)) end,
- {_field('date', 'date')}, {_field('abstract', 'abstract')}, {_field('doi', 'doi')}, {_field('container-title', 'container_title')},
+ {_field('date', 'date')}, case when nullif(trim(abstract), '') is not null then 'abstract: >-' || chr(10) || '  ' || trim(regexp_replace(abstract, '\\s+', ' ', 'g')) end, {_field('doi', 'doi')}, {_field('container-title', 'container_title')},
  case when len(list_filter(keywords, lambda k: k is not null)) > 0 then 'keywords: [' || array_to_string(list_transform(list_filter(keywords, lambda k: k is not null), lambda k: {_Q.format('k')}), ', ') || ']' end,
  {_field('volume', 'volume')}, {_field('issue', 'issue')}, {_field('page', 'page')}, 'lang: ' || {_Q.format("coalesce(nullif(lang, ''), 'en')")}] as parts from p)
 select paper_id, '---' || chr(10) || array_to_string(list_filter(parts, lambda x: x is not null), chr(10)) || chr(10) || '---' || chr(10) as yaml from y"""

@@ -12,10 +12,8 @@ class Settings:
 
     max_pages: int = 0  # 0: no limit
     max_year: int = 2027
-    figure_merge: bool = True
     article_boundary: bool = True
     inject_links: bool = True
-    source: str = "blocks"
     early_pages: int = 4
 
     @classmethod

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from paperloom.session import ensure_checkpoint_dir
+
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table's files as a stream, with the schema of the batch table."""
@@ -39,10 +42,20 @@ def user_sessions(events: DataFrame, gap: str = "6 hours", late: str = "1 hour")
 
 
 def run_to_table(df: DataFrame, name: str, mode: str = "complete") -> DataFrame:
-    """Runs a stream over what is there now and gives the result as a table in memory."""
-    q: StreamingQuery = df.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start()
+    """Runs a stream over what is there now; its result lies as files in the shared folder, not in the driver.
+
+    In complete mode each batch replaces the result, else it adds to it.
+    """
+    spark = df.sparkSession
+    folder = f"{ensure_checkpoint_dir(spark)}/streams/{name}-{uuid.uuid4().hex}"
+    spark.createDataFrame([], df.schema).write.parquet(f"{folder}/result")
+
+    def each(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(f"{folder}/result")
+
+    q: StreamingQuery = df.writeStream.outputMode(mode).foreachBatch(each).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
     q.awaitTermination()
-    return df.sparkSession.table(name)
+    return spark.read.schema(df.schema).parquet(f"{folder}/result")
 
 
 def ingest(blocks: DataFrame, check, sink: str, checkpoint: str) -> StreamingQuery:

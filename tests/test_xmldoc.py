@@ -58,8 +58,8 @@ def test_model_steps_down_and_keeps_rules():
 
 
 def test_settings_and_json(spark):
-    s = Settings.from_env({"PAPERLOOM_MAX_PAGES": "9", "PAPERLOOM_FIGURE_MERGE": "no", "PAPERLOOM_SOURCE": ""})
-    assert (s.max_pages, s.figure_merge, s.source) == (9, False, "blocks")
+    s = Settings.from_env({"PAPERLOOM_MAX_PAGES": "9", "PAPERLOOM_ARTICLE_BOUNDARY": "no", "PAPERLOOM_SOURCE": ""})
+    assert (s.max_pages, s.article_boundary, s.early_pages) == (9, False, 4)
     df = spark.createDataFrame([('{"a": "x"}',), (r'{"a": "\alpha"}',), ("{",), (None,)], "j string")
     got = [r[0] for r in df.select(F.try_variant_get(lenient_json(F.col("j")), "$.a", "string")).collect()]
     assert got == ["x", r"\alpha", None, None]
