@@ -14,8 +14,8 @@ from paperloom.functions import text as T
 EARLY_PAGES = 4
 # What a year may stand beside, in the order of trust.
 YEAR_SOURCES = ("citation", "copyright", "published", "accepted", "received")
-#: A year with up to thirty signs before it and the three signs after it that are no words.
-YEAR_CONTEXT = r"([^\n]{0,30}?)((?:19|20)\d{2})([^\w\n]{0,3})"
+#: A year, and how many signs before it tell what it is.
+YEAR, YEAR_LEAD = r"(?:19|20)\d{2}", 30
 
 
 def publication_year(text: Column, max_year: int) -> Column:
@@ -25,8 +25,11 @@ def publication_year(text: Column, max_year: int) -> Column:
     source (copyright, published, accepted, received), else the form of a citation (in
     brackets after a number or at the end, or between commas).
     """
-    part = lambda k: F.regexp_extract_all(text, F.lit(YEAR_CONTEXT), k)
-    found = F.arrays_zip(part(1).alias("lead"), part(2).alias("year"), part(3).alias("tail"))
+    years, between = F.regexp_extract_all(text, F.lit(f"({YEAR})"), 1), F.split(text, YEAR, -1)
+    found = F.transform(years, lambda y, i: F.struct(
+        F.regexp_extract(F.right(F.get(between, i), F.lit(YEAR_LEAD)), r"([^\n]*)$", 1).alias("lead"), y.alias("year"),
+        F.regexp_extract(F.get(between, i + 1), r"^([^\w\n]{0,3})", 1).alias("tail"),
+    ))
 
     def judged(x: Column, at: Column) -> Column:
         lead, tail = F.lower(x["lead"]), x["tail"]
@@ -38,7 +41,8 @@ def publication_year(text: Column, max_year: int) -> Column:
         return F.when(usable, F.struct(rank.alias("rank"), at.alias("at"), x["year"].cast("int").alias("year"), source.alias("source")))
 
     best = F.array_min(F.array_compact(F.transform(found, judged)))
-    return F.when(best.isNotNull(), F.struct(best["year"].alias("year"), best["source"].alias("source")))
+    dated = text.rlike(r"(19|20)\d{2}")
+    return F.when(dated, T.let(best, lambda b: F.when(b.isNotNull(), F.struct(b["year"].alias("year"), b["source"].alias("source")))))
 
 
 def early(blocks: DataFrame, pages: int = EARLY_PAGES) -> DataFrame:
@@ -54,19 +58,20 @@ def rule_metadata(blocks: DataFrame, max_year: int, pages: int = EARLY_PAGES) ->
     """
     e = early(blocks, pages)
     text = T.collapse(F.col("text"))
-    head = (F.col("type") == "text") & (F.coalesce("text_level", F.lit(0)) == 1) & (F.length(text) > 10)
-    first = lambda cond, value: F.min(F.when(cond, F.struct("seq", value.alias("v"))))["v"]
-    abstract = F.regexp_extract(text, r"(?is)^(?:abstract|summary|zusammenfassung|résumé|resumen|resumo|摘要)\s*[:.：—-]?\s*(.{50,})$", 1)
-    keywords = F.regexp_extract(text, r"(?is)^(?:key ?words|index terms|palabras clave|mots-clés|schlüsselwörter|关键词)\s*[:：—-]?\s*(.+)$", 1)
-    doi = B.doi(F.col("text"))
-    year = publication_year(F.col("text"), max_year)["year"]
-    return e.where(F.col("text").isNotNull()).groupBy("paper_id").agg(
-        first(head, T.clean_title(text)).alias("title"),
-        first(doi.isNotNull(), doi).alias("doi"),
-        first(abstract != "", abstract).alias("abstract"),
-        first(keywords != "", keywords).alias("keywords_raw"),
-        first(year.isNotNull(), year).alias("year"),
-    )
+    head = (F.col("type") == "text") & (F.coalesce("text_level", F.lit(0)) == 1) & (F.length("t") > 10)
+    abstract = F.regexp_extract("t", r"(?is)^(?:abstract|summary|zusammenfassung|résumé|resumen|resumo|摘要)\s*[:.：—-]?\s*(.{50,})$", 1)
+    keywords = F.regexp_extract("t", r"(?is)^(?:key ?words|index terms|palabras clave|mots-clés|schlüsselwörter|关键词)\s*[:：—-]?\s*(.+)$", 1)
+    # each rule is computed once a block, then the first that holds is picked
+    found = (
+        e.where(F.col("text").isNotNull())
+        .withColumn("t", text)
+        .select(
+            "paper_id", "seq", F.when(head, T.clean_title(F.col("t"))).alias("title"), B.doi(F.col("text")).alias("doi"), F.nullif(abstract, F.lit("")).alias("abstract"),
+            F.nullif(keywords, F.lit("")).alias("keywords_raw"), publication_year(F.col("text"), max_year)["year"].alias("year"),
+        )
+    )
+    first = lambda c: F.min(F.when(F.col(c).isNotNull(), F.struct("seq", F.col(c).alias("v"))))["v"].alias(c)
+    return found.groupBy("paper_id").agg(*[first(c) for c in ("title", "doi", "abstract", "keywords_raw", "year")])
 
 
 def keyword_list(col: Column, most: int = 10, longest: int = 60) -> Column:

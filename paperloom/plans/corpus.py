@@ -488,12 +488,14 @@ def fallback_abstracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return MD.fallback_abstract(_rows(spark, sf_dir))
 
 
-_YEARS = """x as (select ref_id, raw, unnest(regexp_extract_all(raw, '{c}', 1)) as ld, unnest(regexp_extract_all(raw, '{c}', 2)) as yr, unnest(regexp_extract_all(raw, '{c}', 3)) as tl, generate_subscripts(regexp_extract_all(raw, '{c}', 1), 1) as k from refs),
+_YEARS = """x0 as (select ref_id, raw, regexp_extract_all(raw, '({c})', 1) as years, regexp_split_to_array(raw, '{c}') as betw from refs),
+x1 as (select ref_id, betw, generate_subscripts(years, 1) as k, unnest(years) as yr from x0),
+x as (select ref_id, k, yr, regexp_extract(right(betw[k], {l}), '([^\\n]*)$', 1) as ld, regexp_extract(betw[k + 1], '^([^\\w\\n]{0,3})', 1) as tl from x1),
 y as (select *, regexp_extract(lower(ld), '(?s).*(©|\\(c\\)|copyright|published|accepted|received)', 1) as word,
   (regexp_matches(lower(ld), '\\d[\\s,]*\\($') and tl like ')%') or (regexp_matches(ld, ',\\s*$') and regexp_matches(tl, '^\\s*,')) or (ld like '%(' and regexp_matches(tl, '^\\)[\\s.;,]*$')) as cited from x),
 z as (select ref_id, k, cast(yr as int) as year, case when word in ('©', '(c)', 'copyright') then 'copyright' when word <> '' then word when cited then 'citation' end as source from y
   where not regexp_matches(ld, '\\d$') and cast(yr as int) between 1900 and {m}),
-w as (select *, list_position(['citation', 'copyright', 'published', 'accepted', 'received'], source) as rank from z where source is not null)""".replace("{c}", MD.YEAR_CONTEXT).replace("{m}", str(MAX_YEAR))
+w as (select *, list_position(['citation', 'copyright', 'published', 'accepted', 'received'], source) as rank from z where source is not null)""".replace("{c}", MD.YEAR).replace("{l}", str(MD.YEAR_LEAD)).replace("{m}", str(MAX_YEAR))
 
 
 @CORPUS.add("reference_years", f"with {_YEARS}, b as (select * from w qualify row_number() over (partition by ref_id order by rank, k) = 1) select r.ref_id, b.year, b.source from refs r left join b using (ref_id)")

@@ -98,7 +98,7 @@ _EARLY = f"""e as (select paper_id, seq, block_id, type, text_level, text, {_col
 f as (select *, case when type = 'text' and coalesce(text_level, 0) = 1 and length(t) > 10 then {_TITLE.format(x='t')} end as title, {_TEXT_DOI} as doi,
   nullif(regexp_extract(t, '(?is)^(?:abstract|summary|zusammenfassung|résumé|resumen|resumo|摘要)\\s*[:.：—-]?\\s*(.{{50,}})$', 1), '') as abstract,
   nullif(regexp_extract(t, '(?is)^(?:key ?words|index terms|palabras clave|mots-clés|schlüsselwörter|关键词)\\s*[:：—-]?\\s*(.+)$', 1), '') as keywords_raw from e),
-yy as ({C._YEARS.replace('from refs', 'from (select block_id as ref_id, text as raw from e)').replace('x as', 'with x as', 1)} select ref_id, year from w qualify row_number() over (partition by ref_id order by rank, k) = 1),
+yy as ({C._YEARS.replace('from refs', 'from (select block_id as ref_id, text as raw from e)').replace('x0 as', 'with x0 as', 1)} select ref_id, year from w qualify row_number() over (partition by ref_id order by rank, k) = 1),
 rm as (select paper_id, arg_min(title, seq) filter (title is not null) as title, arg_min(doi, seq) filter (doi is not null) as doi, arg_min(abstract, seq) filter (abstract is not null) as abstract,
   arg_min(keywords_raw, seq) filter (keywords_raw is not null) as keywords_raw, arg_min(year, seq) filter (year is not null) as year from f left join yy on yy.ref_id = f.block_id group by 1)"""
 S["rule_metadata"] = f"with {_B}, {_EARLY} select * from rm"
