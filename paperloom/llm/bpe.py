@@ -120,19 +120,30 @@ def _strings(path: str) -> dict[int, bytes]:
     return {v: k for k, v in load_ranks(path).items()}
 
 
+#: Ids that a worker gathers before it hands a part of a batch on.
+FLAT_IDS = 20_000_000
+
+
 def encode_corpus(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
     """(id, ids) of every row; the ids of a batch go into one flat buffer of 32-bit numbers."""
     where = path or vocabulary_path()
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(where)
+
+        def out(batch: pa.RecordBatch, start: int, flat: array, ends: array) -> pa.RecordBatch:
+            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32) if flat else [], pa.int32()))
+            return pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(ends) - 1), ids], names=["id", "ids"])
+
         for batch in it:
-            flat, ends = array("i"), array("i", [0])
-            for text in batch.column(1):
+            start, flat, ends = 0, array("i"), array("i", [0])
+            for k, text in enumerate(batch.column(1)):
                 flat.extend(encode(text.as_py()))
                 ends.append(len(flat))
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32) if flat else [], pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["id", "ids"])
+                if len(flat) > FLAT_IDS:  # long texts: the batch goes on in parts
+                    yield out(batch, start, flat, ends)
+                    start, flat, ends = k + 1, array("i"), array("i", [0])
+            yield out(batch, start, flat, ends)
 
     return df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("x")).transform(in_arrow, batches, "id bigint, ids array<int>")
 
@@ -147,3 +158,21 @@ def decode_corpus(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", p
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["id", "text"])
 
     return df.select(F.col(id_col).cast("bigint").alias("id"), F.col(ids_col).alias("x")).transform(in_arrow, batches, "id bigint, text string")
+
+
+def round_trip(df: DataFrame, text_col: str = "text", path: str | None = None) -> DataFrame:
+    """One row (docs, same, tokens): texts, those that their ids give back (null as empty), and all their ids; encoded once, nothing shuffled but sums."""
+    where = path or vocabulary_path()
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(where)
+        for batch in it:
+            docs = same = tokens = 0
+            for text in batch.column(0):
+                own = text.as_py() or ""
+                ids = encode(own)
+                docs, same, tokens = docs + 1, same + (decode(ids, where) == own), tokens + len(ids)
+            yield pa.RecordBatch.from_arrays([pa.array([v], pa.int64()) for v in (docs, same, tokens)], names=["docs", "same", "tokens"])
+
+    parts = df.select(text_col).transform(in_arrow, batches, "docs bigint, same bigint, tokens bigint")
+    return parts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("docs", "same", "tokens")])

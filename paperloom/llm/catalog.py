@@ -43,16 +43,8 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @LLM.add("p8_round_trip")
 def p8_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many documents come back from their ids as they were, with the tokens in all."""
-    docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    ids = bpe.encode_corpus(docs).withColumnRenamed("id", "doc_id")
-    back = bpe.decode_corpus(ids).withColumnRenamed("id", "doc_id").withColumnRenamed("text", "back")
-    sizes = ids.select("doc_id", F.size("ids").alias("tokens"))
-    kept = (F.coalesce("text", F.lit("")) == F.col("back")).cast("bigint")
-    return (
-        docs.join(back, "doc_id")
-        .join(sizes, "doc_id")
-        .agg(F.count("*").alias("docs"), F.sum(kept).alias("same"), F.sum("tokens").alias("tokens"))
-    )
+    docs = table(spark, sf_dir, "documents", "text")
+    return bpe.round_trip(docs)
 
 
 @LLM.add("p9_found")

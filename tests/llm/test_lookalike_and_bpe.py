@@ -94,3 +94,27 @@ def test_cache_bound_changes_nothing(monkeypatch):
     bpe.encoder.cache_clear()
     assert bpe.encoder(path)("alpha beta gamma delta alpha beta") == whole
     bpe.encoder.cache_clear()
+
+
+def test_parts_of_batches_and_round_trip(spark, small, monkeypatch):
+    import pyarrow as pa
+
+    df = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").orderBy("doc_id").limit(40)
+    whole = {r.id: r.ids for r in bpe.encode_corpus(df).collect()}
+    rows = df.collect()
+    monkeypatch.setattr(bpe, "FLAT_IDS", 100)
+    taken = []
+
+    class Frame:
+        def select(self, *_):
+            return self
+
+        def transform(self, _, f, ddl):
+            batch = pa.RecordBatch.from_arrays([pa.array([r.doc_id for r in rows], pa.int64()), pa.array([r.text for r in rows], pa.string())], names=["id", "x"])
+            taken.extend(f(iter([batch])))
+
+    bpe.encode_corpus(Frame())
+    assert len(taken) > 5 and {i: ids for b in taken for i, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist())} == whole
+    one = bpe.round_trip(df).first()
+    assert one.docs == one.same == 40 and one.tokens == sum(map(len, whole.values()))
+    assert tuple(bpe.round_trip(df.limit(0)).first()) == (0, 0, 0)
