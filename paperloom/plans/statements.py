@@ -196,3 +196,8 @@ b as (select *, regexp_replace(t, '(?s)^.{{0,249}}?\\bCheck for updates\\s+', ''
 c as (select *, {_NOISY} as noise, length(t) < 60 and (label in {_list(T.ARTICLE_LABELS)} or {C._HEADING_NOISE.replace('content', 't')}) as label_only,
   trim(regexp_replace(regexp_replace(t, '^Article\\s+https?://doi\\.org/\\S+\\s+', ''), '(?s)^.{{0,249}}?\\bCheck for updates\\s+', '')) as bare from b)
 select block_id, case when t = '' then null when noise and length(after) < length(t) and length(trim(after)) > 150 then trim(after) when noise or label_only then null else nullif(bare, '') end as value from c"""
+
+_FOLDED = "regexp_replace(text, '[\\s\\x{0b}\\x{1c}-\\x{1f}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+', ' ', 'g')"
+for _a, _b in (("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl"), ("ﬅ", "st"), ("ﬆ", "st")):
+    _FOLDED = f"replace({_FOLDED}, '{_a}', '{_b}')"
+S["text_skeleton"] = f"select block_id, replace(replace(replace(lower(translate({_FOLDED}, '’‘ʼ“”–—‐‑−', '''''''\"\"-----')), 'ß', 'ss'), 'ς', 'σ'), chr(181), chr(956)) as value from blocks where text is not null"
